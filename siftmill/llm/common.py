@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -74,22 +75,27 @@ def numbered(df: DataFrame, groups: list[str], order: list[str], value: str, row
     return inside.join(sums, [*groups, "_cell"]).withColumn("before", F.col("_base") + F.col("_in")).drop("_cell", "_base", "_in")
 
 
-def grouped(batches: Iterable[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]:
-    """One table for each run of equal ``keys``, from batches sorted by them; runs may go on over batches."""
+def grouped(batches: Iterable[pa.RecordBatch], *keys: str, least: int = 1) -> Iterator[pa.Table]:
+    """Tables of whole runs of equal whole-number ``keys``, from batches sorted by them; runs may go on over batches.
+    One run each, or as many as make ``least`` rows."""
     held: pa.Table | None = None
     for batch in batches:
+        if not batch.num_rows:
+            continue
         table = pa.Table.from_batches([batch])
-        if not table.num_rows:
+        held = table if held is None else pa.concat_tables([held, table]).combine_chunks()
+        if held.num_rows < least:
             continue
-        table = pa.concat_tables([held, table]).combine_chunks() if held is not None else table
-        cols = [table[k].to_pylist() for k in keys]
-        marks = list(zip(*cols, strict=True))
+        new = np.zeros(held.num_rows - 1, bool)
+        for k in keys:
+            values = held[k].to_numpy()
+            new |= values[1:] != values[:-1]
         start = 0
-        for i in range(1, len(marks)):
-            if marks[i] != marks[i - 1]:
-                yield table.slice(start, i - start)
-                start = i
-        held = table.slice(start)
+        for end in (np.flatnonzero(new) + 1).tolist():
+            if end - start >= least:
+                yield held.slice(start, end - start)
+                start = end
+        held = held.slice(start)
     if held is not None and held.num_rows:
         yield held
 

@@ -16,8 +16,11 @@ from siftmill.llm.minhash import hashes, mixed
 
 #: Words in a window, and in the phrases that anchor windows.
 WINDOW, PHRASE = 20, 8
-#: Contexts in one automaton, and occurrences of one phrase above which its windows are dealt out apart.
-SHARD, HOT = 4000, 1000
+#: Contexts in one automaton, at least.
+SHARD = 4000
+#: A phrase with more occurrences is dealt out window by window, salted. None: more than a partition's fair share of all
+#: occurrences, and than LEAST_HOT.
+HOT, LEAST_HOT = None, 1000
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 LAST = 2**63 - 1
 
@@ -29,18 +32,24 @@ def phrases(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np
     n = len(h) - window + 1
     if n < 1:
         return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-    size = min(PHRASE, window)
-    g = np.full(len(h) - size + 1, size, np.uint64)
-    for k in range(size):
-        g = mixed(g * _P + h[k : len(h) - size + 1 + k] * _Q)
-    at = np.lib.stride_tricks.sliding_window_view(g, window - size + 1).argmin(1) + np.arange(n)
+    g, size = h, 1
+    while 2 * size <= min(PHRASE, window):  # phrases of 1, 2, 4, 8 words
+        g, size = mixed(g[:-size] * _P + g[size:] * _Q + np.uint64(size)), 2 * size
+    # the least hash, leftmost if its upper bits repeat: places are in the lower bits
+    bits = np.uint64(len(g).bit_length())
+    low = g >> bits << bits | np.arange(len(g), dtype=np.uint64)
+    width, span = window - size + 1, 1
+    while 2 * span <= width:
+        low, span = np.minimum(low[:-span], low[span:]), 2 * span
+    low = np.minimum(low[:n], low[width - span : width - span + n])
+    at = (low & (np.uint64(1) << bits) - np.uint64(1)).astype(np.int64)
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
     return g[at[first]], first, np.concatenate([first[1:], [n]]) - 1
 
 
-def located(contexts: list[tuple], window: int, forward: bool):
+def located(contexts: list[tuple], window: int, salted: dict):
     """Occurrences ``(doc, row, start, words)`` of contexts -> ranges of words ``(doc, row, from, to)`` whose windows start
-    earlier elsewhere; with ``forward``, also the contexts' first occurrences, for comparison with other shards.
+    earlier elsewhere, and the first occurrences of the contexts in ``salted``, for comparison with other shards.
 
     Windows met twice are confirmed passages; an automaton over word numbers is compiled of them, and every distinct
     context is streamed through it once. Of a context's occurrences only the first can have windows that start nowhere
@@ -72,7 +81,7 @@ def located(contexts: list[tuple], window: int, forward: bool):
             every = joined([k for k, _ in found], window)
             for d, r, s in own:
                 out += [(d, r, s + a, s + b) for a, b in (later if (d, r, s) == (doc, row, start) else every)]
-    return out, [(*least, words) for (words, _), (_, least, _) in zip(where.items(), texts, strict=True)] if forward else []
+    return out, [(*salted[words], *least, words) for words, (_, least, _) in zip(where, texts, strict=True) if words in salted]
 
 
 def joined(starts: list[int], window: int) -> list[tuple[int, int]]:
@@ -93,25 +102,12 @@ def shards(window: int, forward: bool):
         cols = list(zip(*out, strict=True)) or [[]] * 8
         return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if n == "words" else pa.int64()) for n, c in zip(names, cols, strict=True)], names)
 
-    def solve(contexts):
-        ranges, _ = located(contexts, window, False)
-        return [(0, 0, 0, *r, None) for r in ranges]
-
     def run(batches):
-        held: list[tuple] = []
-        for g in grouped(batches, "anchor", "sub", "salt"):
-            rows = list(zip(*(g[c].to_pylist() for c in ("doc", "row", "start", "words")), strict=True))
-            if forward and g["salted"][0].as_py():
-                anchor, sub = g["anchor"][0].as_py(), g["sub"][0].as_py()
-                ranges, firsts = located(rows, window, True)
-                yield batch([(0, 0, 0, *r, None) for r in ranges] + [(1, anchor, sub, d, r, s, 0, w) for d, r, s, w in firsts])
-                continue
-            held += rows
-            if len(held) >= SHARD:
-                yield batch(solve(held))
-                held = []
-        if held:
-            yield batch(solve(held))
+        for g in grouped(batches, "anchor", "sub", "salt", least=SHARD):
+            anchor, sub, hot, doc, row, start, words = (g[c].to_pylist() for c in ("anchor", "sub", "salted", "doc", "row", "start", "words"))
+            salted = {w: (a, s) for w, a, s, h in zip(words, anchor, sub, hot, strict=True) if h} if forward else {}
+            ranges, firsts = located(list(zip(doc, row, start, words, strict=True)), window, salted)
+            yield batch([(0, 0, 0, *r, None) for r in ranges] + [(1, a, s, d, r, at, 0, w) for a, s, d, r, at, w in firsts])
 
     return run, "part long, anchor long, sub long, doc long, row long, a long, b long, words binary"
 
@@ -130,7 +126,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     gives no rows; other columns are not read.
 
     Every window is found by its anchor phrase. Only phrases that occur twice lead on: the contexts of their windows
-    (not whole texts) are dealt to shards by phrase. A phrase above HOT occurrences is dealt window by window and
+    (not whole texts) are dealt to shards by phrase. A phrase with more than its share of occurrences is dealt window by window and
     salted; shards then pass on only a window's first occurrence."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = rows.withColumns({"doc": F.coalesce("doc_id", F.lit(LAST)), "row": F.xxhash64("text")})
@@ -146,7 +142,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     base = staged(rows.mapInArrow(scan, "doc_id long, doc long, row long, n_words long, sha string, anchors array<long>, times array<long>"))
     uses = base.select("doc", "row", F.explode(F.arrays_zip("anchors", "times")).alias("u")).select("doc", "row", F.col("u.anchors").alias("anchor"), F.col("u.times").alias("times"))
-    often = staged(uses.groupBy("anchor").agg(F.sum("times").alias("n")).where("n > 1"))
+    often, seen = staged(uses.groupBy("anchor").agg(F.sum("times").alias("n")).where("n > 1"), F.coalesce(F.sum("n"), F.lit(0)).alias("all"))
+    hot = HOT or max(LEAST_HOT, seen["all"] // int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     need = uses.drop("times").join(often, "anchor").groupBy("doc", "row").agg(F.collect_list(F.struct("anchor", "n")).alias("need"))
     held = staged(rows.join(staged(need), ["doc", "row"]).select("doc", "row", "text", "need"))
 
@@ -161,12 +158,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     n = wanted.get(a)
                     if n is None:
                         continue
-                    if n <= HOT:
+                    if n <= hot:
                         out.append((a, 0, 0, 0, doc, row, s, b" ".join(words[s : e + window])))
                         continue
                     for k in range(s, e + 1):
                         text_k = b" ".join(words[k : k + window])
-                        salt = xxhash.xxh3_64_intdigest(b"%d %d %d" % (doc, row, k)) % (1 + n // HOT)
+                        salt = xxhash.xxh3_64_intdigest(b"%d %d %d" % (doc, row, k)) % (1 + n // hot)
                         out.append((a, int.from_bytes(xxhash.xxh3_64_digest(text_k), "little", signed=True), salt, 1, doc, row, k, text_k))
             for i in range(0, len(out), 20_000):
                 cols = zip(*out[i : i + 20_000], strict=True)
