@@ -38,3 +38,55 @@ def slot_at_or_after(ts: Column) -> Column:
     for h in reversed(SLOTS):
         out = F.when(seconds <= h * 3600, _slot(day, F.lit(f"{h:02d}"))).otherwise(out)
     return out
+
+
+def next_slot(slot: Column) -> Column:
+    day, hour = F.to_date(F.substring(slot, 1, 10)), F.substring(slot, 12, 2)
+    return F.when(hour == "18", _slot(F.date_add(day, 1), F.lit("06"))).otherwise(_slot(day, F.when(hour == "06", "10").when(hour == "10", "14").otherwise("18")))
+
+
+def slot_instant(slot: Column) -> Column:
+    """The instant, in UTC, at which a slot begins; null for what is no slot."""
+    ok = slot.rlike(r"^\d{4}-\d\d-\d\d-(06|10|14|18)00$")
+    return F.when(ok, F.to_utc_timestamp(F.try_to_timestamp(F.concat(F.substring(slot, 1, 10), F.lit(" "), F.substring(slot, 12, 2), F.lit(":00:00"))), ZONE))
+
+
+def publication_instant(ts: Column, date_only: Column) -> Column:
+    """A date without a time counts as that day's last slot."""
+    return F.when(date_only, F.to_utc_timestamp(F.concat(F.date_format(ts, "yyyy-MM-dd"), F.lit(" 18:00:00")), ZONE)).otherwise(ts.cast("timestamp"))
+
+
+def month_window(month: Column) -> Column:
+    """``start, until`` (UTC, half open) of an Eastern calendar month ``yyyy-MM``."""
+    first = F.try_to_timestamp(F.concat(month, F.lit("-01 00:00:00")))
+    return F.struct(F.to_utc_timestamp(first, ZONE).alias("start"), F.to_utc_timestamp(F.add_months(first, 1).cast("timestamp"), ZONE).alias("until"))
+
+
+#: Minutes east of Greenwich.
+ZONES = {"UTC": 0, "GMT": 0, "Z": 0, "UT": 0, "EST": -300, "EDT": -240, "CST": -360, "CDT": -300, "MST": -420, "MDT": -360, "PST": -480, "PDT": -420, "BST": 60, "CET": 60, "CEST": 120}
+MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
+
+
+def feed_date(c: Column) -> Column:
+    """``ts, status, date_only`` of a date as feeds write it: RFC 822 with or without weekday, ISO 8601; no zone is UTC.
+    Status: ok, missing, implausible (year outside 1990 to 2100) or unparsed."""
+    s = F.trim(F.coalesce(c, F.lit("")))
+    at = lambda p, g: F.regexp_extract(s, p, g)
+    named = r"^(?:[A-Za-z]{3,9},?\s+)?(\d{1,2})[ -]([A-Za-z]{3})[a-z]*[ -](\d{4})(?:[ ,T]+(\d{1,2}):(\d\d)(?::(\d\d))?)?\s*([A-Za-z]{1,4}|[+-]\d\d:?\d\d)?$"
+    plain = r"^(\d{4})-(\d\d)-(\d\d)(?:[T ]+(\d\d):(\d\d)(?::(\d\d)(?:\.\d+)?)?)?\s*([A-Za-z]{1,4}|[+-]\d\d:?\d\d)?$"
+    iso = s.rlike(plain)
+    pick = lambda a, b: F.when(iso, at(plain, a)).otherwise(at(named, b))
+    spot = F.instr(F.lit(MONTHS), F.initcap(at(named, 2)))
+    month = F.when(iso, at(plain, 2)).otherwise(F.lpad(((spot + 2) / 3).cast("int").cast("string"), 2, "0"))
+    two = lambda x: F.lpad(F.when(x == "", "00").otherwise(x), 2, "0")
+    hour, minute, second, zone = (pick(k, k) for k in (4, 5, 6, 7))
+    text = F.concat(pick(1, 3), F.lit("-"), month, F.lit("-"), two(pick(3, 1)), F.lit(" "), two(hour), F.lit(":"), two(minute), F.lit(":"), two(second))
+    wall = F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss"))
+    sign = F.when(zone.startswith("-"), -1).otherwise(1)
+    digits = F.regexp_replace(zone, "[^0-9]", "")
+    offset = F.when(zone == "", 0).when(zone.rlike(r"^[+-]"), sign * (F.substring(digits, 1, 2).cast("int") * 60 + F.substring(digits, 3, 2).cast("int")))
+    for name, minutes in ZONES.items():
+        offset = offset.when(F.upper(zone) == name, minutes)
+    ts = wall - F.make_dt_interval(F.lit(0), F.lit(0), offset)
+    status = F.when(s == "", "missing").when(ts.isNull(), "unparsed").when(~F.year(ts).between(1990, 2100), "implausible").otherwise("ok")
+    return F.struct(F.when(status == "ok", ts).alias("ts"), status.alias("status"), (ts.isNotNull() & (hour == "")).alias("date_only"))

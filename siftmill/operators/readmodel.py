@@ -43,3 +43,25 @@ def rank_ids(df: DataFrame, group: str, order: list[Column], stem: Column) -> Da
 
 def top_k(df: DataFrame, by: str, order: list[Column], k: int) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(by).orderBy(*order))).where(F.col("rank") <= k)
+
+
+def sections(df: DataFrame, section: str, inside: Column, chosen: Column) -> DataFrame:
+    """``section, shown, hidden``: rows in the range that the filters show, and those that they hide."""
+    return df.where(inside).groupBy(section).agg(F.count_if(chosen).alias("shown"), F.count_if(~chosen).alias("hidden"))
+
+
+def search(df: DataFrame, key: Column, wanted: str) -> DataFrame:
+    """Rows whose search key holds the words asked for, as one string; nothing asked keeps all."""
+    return df.where(F.contains(key, F.lit(" ".join(wanted.lower().split())))) if wanted.strip() else df
+
+
+def shares(df: DataFrame, by: list[str], value: str, above: float, least: int = 2) -> DataFrame:
+    """Values with at least ``least`` rows and more than ``above`` of their group's."""
+    n = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
+    total = n.groupBy(*by).agg(F.sum("n").alias("total"))
+    return n.join(total, by).where((F.col("n") >= least) & (F.col("n") > F.col("total") * above)).withColumn("share", ratio(F.col("n"), F.col("total")))
+
+
+def latest_at(df: DataFrame, order: str, *times: str) -> DataFrame:
+    """One row ``as_of``: the first known time of the latest run."""
+    return df.agg(F.max_by(F.coalesce(*times), F.col(order)).alias("as_of"))

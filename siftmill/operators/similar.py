@@ -54,3 +54,27 @@ def clusters(pairs: DataFrame) -> DataFrame:
     return root.withColumnRenamed("a", "node")
 
 
+
+def pair_score(jaccard, proper, figures, cves, fewest_cves, same_url):
+    """Likeness of two stories, at most 1: words shared, plus shared names and figures; a shared identifier is worth 0.9 where
+    one side has two at most, else 0.6; one address is the same story."""
+    extra = jaccard + F.least(proper, F.lit(3)) * 0.12 + F.least(figures, F.lit(2)) * 0.08
+    floor = F.when(cves == 0, 0.0).when(fewest_cves <= 2, 0.9).otherwise(0.6)
+    return F.when(same_url, 1.0).otherwise(half_up(F.least(F.lit(1.0), F.greatest(extra, floor)), 2))
+
+
+def chain_root(df: DataFrame, key: str, parent: str) -> DataFrame:
+    """``key, root, hops``: the end of each row's chain of parents, by doubling: rounds near the logarithm of the longest
+    chain. A parent that no row has ends the chain at the row itself; a cycle ends in an error."""
+    checkpointing(df.sparkSession)
+    known = df.select(F.col(key).alias("up"))
+    jump = df.select(F.col(key).alias("k"), F.col(parent).alias("up")).join(known, "up", "left_semi").select("k", "up")
+    jump = df.select(F.col(key).alias("k")).join(jump, "k", "left").select("k", F.coalesce("up", "k").alias("up"), F.when(F.col("up").isNotNull(), 1).otherwise(0).alias("hops")).checkpoint()
+    for _ in range(40):
+        ahead = jump.select(F.col("k").alias("up"), F.col("up").alias("next"), F.col("hops").alias("more")).where("more > 0")
+        joined = jump.join(ahead, "up", "left")
+        after = joined.select("k", F.coalesce("next", "up").alias("up"), (F.col("hops") + F.coalesce("more", F.lit(0))).alias("hops")).checkpoint()
+        if after.agg(F.sum("hops")).first()[0] == jump.agg(F.sum("hops")).first()[0]:
+            return after.select(F.col("k").alias(key), F.col("up").alias("root"), F.col("hops").cast("int").alias("hops"))
+        jump = after
+    raise ValueError("parents form a cycle")

@@ -6,6 +6,7 @@ from collections import Counter
 import duckdb
 import pytest
 
+import siftmill.plans.more  # noqa: F401
 from siftmill.plans.queries import ORACLES, QUERIES
 
 TABLES = "customer orders lineitem events documents pages benchmark labels conversations".split()
