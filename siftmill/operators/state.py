@@ -44,3 +44,17 @@ def append_only_diff(before: DataFrame, after: DataFrame, key: str, position: st
 def capped(df: DataFrame, by: str, order: list[str], most: int) -> DataFrame:
     """The first ``most`` rows of each group."""
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(by).orderBy(*order))).where(F.col("_n") <= most).drop("_n")
+
+
+def canonical(json: Column) -> Column:
+    """A flat JSON object as text that does not depend on the order of its keys."""
+    pairs = F.array_sort(F.map_entries(F.from_json(json, "map<string,string>")))
+    return F.array_join(F.transform(pairs, lambda p: F.concat(p["key"], F.lit("="), F.coalesce(p["value"], F.lit("")))), "&")
+
+
+def first_difference(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
+    """``key, field, was, now`` of the first column, in the order of ``before``, that differs; equal rows are left out."""
+    cols = [c for c in before.columns if c != key]
+    both = before.alias("a").join(after.alias("b"), key)
+    changed = [F.when(~F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")), F.struct(F.lit(c).alias("field"), F.col(f"a.{c}").cast("string").alias("was"), F.col(f"b.{c}").cast("string").alias("now"))) for c in cols]
+    return both.select(key, F.coalesce(*changed).alias("d")).where("d IS NOT NULL").select(key, "d.*")

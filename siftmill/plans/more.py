@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from siftmill.functions import dates, extract, markup, text, url
 from siftmill.functions.text import half_up
-from siftmill.operators import backfill, checks, publish, readmodel, score, similar
+from siftmill.operators import backfill, checks, lexicon, publish, readmodel, score, similar, state
 from siftmill.plans.queries import _ET, _HOST, _J, _PAIR, _PARAMS, _SLOT, _scored, candidates, judgments, likely_pairs, query, read
 from siftmill.session import checkpointing
 from siftmill.streaming import ledger
@@ -219,3 +219,27 @@ def check_histories(spark, sf_dir):
     h = backfill.check_history(read(spark, sf_dir, "events").select("event_type", "user_id").distinct(), "event_type", "user_id")
     mean = read(spark, sf_dir, "events").groupBy("event_type").agg(half_up(F.avg("user_id"), 2).alias("mean"))
     return h.select("event_type", F.col("latest.user_id").alias("latest_user"), F.size("history").alias("n")).join(mean, "event_type")
+
+
+# ---- vocabulary and snapshots
+
+TERMS = {"licens*": 3.0, "that": 1.0, "with": 1.0, "from": 1.0}
+_TERM = " UNION ALL ".join(f"SELECT '{t}' AS term, count(*) AS n FROM documents WHERE regexp_matches(lower(text), '(?:^|[^\\p{{L}}\\p{{N}}]){t.rstrip('*')}{'[\\p{L}]*' if t.endswith('*') else ''}(?:[^\\p{{L}}\\p{{N}}]|$)')" for t in TERMS)
+
+
+@query(f"SELECT * FROM ({_TERM}) WHERE n > 0")
+def lexicon_hits(spark, sf_dir):
+    return lexicon.term_counts(read(spark, sf_dir, "documents"), "text", TERMS)
+
+
+@query("SELECT event_type, count(DISTINCT array_to_string(list_transform(list_sort(json_keys(props::JSON)), lambda k: k || '=' || coalesce(json_extract_string(props::JSON, '$.\"' || k || '\"'), '')), '&')) AS n FROM events WHERE props IS NOT NULL GROUP BY event_type")
+def distinct_props(spark, sf_dir):
+    e = read(spark, sf_dir, "events").where("props IS NOT NULL")
+    return e.groupBy("event_type").agg(F.countDistinct(state.canonical(F.col("props"))).alias("n"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 101 = 0 THEN 'o_orderstatus' ELSE 'o_orderpriority' END AS field, CASE WHEN o_orderkey % 101 = 0 THEN o_orderstatus ELSE o_orderpriority END AS was, 'X' AS now FROM orders WHERE o_orderkey % 101 = 0 OR o_orderkey % 103 = 0")
+def first_differences(spark, sf_dir):
+    k, a = F.col("o_orderkey"), read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    b = a.withColumns({"o_orderstatus": F.when(k % 101 == 0, "X").otherwise(F.col("o_orderstatus")), "o_orderpriority": F.when(k % 103 == 0, "X").otherwise(F.col("o_orderpriority"))})
+    return state.first_difference(a, b, "o_orderkey")

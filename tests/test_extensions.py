@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from siftmill.functions import dates, extract, markup, url
-from siftmill.operators import backfill, checks, publish, similar
+from siftmill.operators import backfill, checks, lexicon, publish, similar
 from siftmill.sources import registry
+from siftmill.streaming import ledger
 
 
 def one(spark, value, f, kind="string"):
@@ -121,3 +122,21 @@ def test_registry(spark, tmp_path):
     (tmp_path / "p.json").write_text(json.dumps({"results": [entry("a", "Rule", "2026-01-05"), entry("b", "Notice", "2026-01-05"), entry("c", "Rule", "2025-01-05"), entry("", "Rule", "x")]}))
     r = registry.rule_candidates(registry.documents(spark, str(tmp_path / "p.json"), registry.RULE_PAGE), F.lit("2026-01-01").cast("date"), F.lit("2026-02-01").cast("date"))
     assert [x.skipped for x in r.collect()] == [None, "not_rule", "out_of_window", "invalid"]
+
+
+def test_lexicon(spark):
+    terms = {"data centre": 1.0, "data": 2.0, "centre*": 1.0, "cs:US": 1.0, r"re:\\d+%": 1.0}
+    terms = {t.replace("\\\\", "\\"): w for t, w in terms.items()}
+    got = one(spark, "US data-centres, for us: 5%", lambda c: lexicon.hits(c, terms))
+    assert [(h.term, h.start) for h in got] == [("cs:US", 0), ("data", 3), ("centre*", 8), (r"re:\d+%", 25)]
+    assert one(spark, None, lambda c: lexicon.hits(c, terms)) == []
+    df = spark.createDataFrame([(1, "Bank of England and the Bank; bank of england"), (2, None)], "id int, t string")
+    assert [tuple(r) for r in lexicon.entities(df, "id", "t", {"Bank of England": "BoE", "the Bank": "BoE"}).collect()] == [(1, "BoE", 0)]
+
+
+def test_publish_batches(spark, tmp_path):
+    for i in (0, 1):
+        spark.range(i, i + 3).selectExpr("id", f"{i} AS x").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema("id long, x int").parquet(f"{tmp_path}/in")
+        ledger.publish_batches(stream, "id", f"{tmp_path}/out", f"{tmp_path}/state")
+    assert sorted(tuple(r) for r in spark.read.parquet(f"{tmp_path}/out").select("id", "x").collect()) == [(0, 0), (1, 0), (2, 0), (3, 1)]
