@@ -159,9 +159,9 @@ def order_violations(spark, sf_dir):
     return checks.collected(checks.row_checks(o, "o_orderkey", rules), checks.references(o, "o_orderkey", "o_custkey", solvent, "c_custkey", "customer"), checks.unique(read(spark, sf_dir, "lineitem"), "l_orderkey"))
 
 
-@query("SELECT conv_id::VARCHAR AS entity, rule, 'warning' AS severity, 'text' AS field, regexp_extract(text, p, 0) AS message FROM conversations, (VALUES ('figure', '[0-9]+'), ('question', '[^.!?]*[?]')) r(rule, p) WHERE regexp_matches(text, p)")
+@query("SELECT conv_id::VARCHAR AS entity, rule, 'warning' AS severity, 'text' AS field, regexp_extract(text, p, 0) AS message FROM conversations, (VALUES ('figure', '[0-9]+'), ('long_word', '\\p{L}{14,}')) r(rule, p) WHERE regexp_matches(text, p)")
 def conversation_lint(spark, sf_dir):
-    return checks.text_lint(read(spark, sf_dir, "conversations"), "conv_id", ["text"], [("figure", "warning", "[0-9]+"), ("question", "warning", "[^.!?]*[?]")])
+    return checks.text_lint(read(spark, sf_dir, "conversations"), "conv_id", ["text"], [("figure", "warning", "[0-9]+"), ("long_word", "warning", r"\p{L}{14,}")])
 
 
 @query(f"WITH {_J} SELECT doc_id, source, coalesce(code, 'unjudged') AS verdict FROM documents LEFT JOIN j USING (doc_id)")
@@ -209,9 +209,9 @@ def sections_with_hidden(spark, sf_dir):
     return readmodel.sections(o, "section", F.col("o_totalprice") >= 1000, F.col("o_orderstatus") == "O")
 
 
-@query("WITH n AS (SELECT lang, source, count(*) AS n FROM documents GROUP BY ALL), t AS (SELECT *, sum(n) OVER (PARTITION BY lang) AS total FROM n) SELECT lang, source, n, total::BIGINT AS total, floor(n / total * 1000 + 0.5) / 1000 AS share FROM t WHERE n >= 2 AND n > total * 0.2 AND lang IS NOT NULL")
+@query("WITH n AS (SELECT lang, source, count(*) AS n FROM documents GROUP BY ALL), t AS (SELECT *, sum(n) OVER (PARTITION BY lang) AS total FROM n) SELECT lang, source, n, total::BIGINT AS total, floor(n / total * 1000 + 0.5) / 1000 AS share FROM t WHERE n >= 2 AND n > total * 0.05 AND lang IS NOT NULL")
 def dominant_sources(spark, sf_dir):
-    return readmodel.shares(read(spark, sf_dir, "documents"), ["lang"], "source", 0.2).select("lang", "source", "n", "total", "share")
+    return readmodel.shares(read(spark, sf_dir, "documents"), ["lang"], "source", 0.05).select("lang", "source", "n", "total", "share")
 
 
 @query("SELECT event_type, max(user_id) AS latest_user, count(DISTINCT user_id)::INT AS n, floor(avg(user_id) * 100 + 0.5) / 100 AS mean FROM events GROUP BY event_type")
