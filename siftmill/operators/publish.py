@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -50,10 +51,12 @@ def commit(frames: dict[str, DataFrame], folder: str, run_id: str, record: DataF
 
 def runs(spark: SparkSession, folder: str) -> DataFrame:
     schema = "run_id string, record string"
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/runs")
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+    try:
+        return spark.read.schema(schema).parquet(f"{folder}/runs")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{folder}/runs")
 
 
 def committed(spark: SparkSession, folder: str, name: str) -> DataFrame:
