@@ -28,9 +28,9 @@ def distinctive_numbers(spark, sf_dir):
     return d.select("doc_id", F.size("n").alias("n"), F.array_join("n", "|").alias("numbers"))
 
 
-@query(_PAIR + f", m AS (SELECT doc_id, {_numbers('substr(text, 1, 400)')} AS n FROM documents) SELECT p.a, p.b, least(len(list_intersect(x.n, y.n)), 2)::INT AS shared, floor(least(1.0, p.jaccard + least(len(list_intersect(x.n, y.n)), 2) * 0.08) * 100 + 0.5) / 100 AS score FROM p JOIN m x ON x.doc_id = p.a JOIN m y ON y.doc_id = p.b")
+@query(_PAIR + f", m AS (SELECT doc_id, {_numbers('text')} AS n FROM documents) SELECT p.a, p.b, least(len(list_intersect(x.n, y.n)), 2)::INT AS shared, floor(least(1.0, p.jaccard + least(len(list_intersect(x.n, y.n)), 2) * 0.08) * 100 + 0.5) / 100 AS score FROM p JOIN m x ON x.doc_id = p.a JOIN m y ON y.doc_id = p.b")
 def shared_number_bonus(spark, sf_dir):
-    n = read(spark, sf_dir, "documents").select("doc_id", extract.numbers(F.substring("text", 1, 400)).alias("n"))
+    n = read(spark, sf_dir, "documents").select("doc_id", extract.numbers(F.col("text")).alias("n"))
     p = likely_pairs(spark, sf_dir).join(n.toDF("a", "x"), "a").join(n.toDF("b", "y"), "b")
     p = p.withColumn("shared", F.least(F.size(F.array_intersect("x", "y")), F.lit(2)))
     none = F.lit(0)

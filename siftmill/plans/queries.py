@@ -30,7 +30,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # ---- candidates and their scores
 
-CANDIDATES = "c AS (SELECT doc_id, source, substr(coalesce(text, ''), 1, 100) AS title, substr(coalesce(text, ''), 101, 400) AS lead, doc_id % 7 = 3 AS seen FROM documents)"
+CANDIDATES = "c AS (SELECT doc_id, source, substr(coalesce(text, ''), 1, 100) AS title, substr(coalesce(text, ''), 101) AS lead, doc_id % 7 = 3 AS seen FROM documents)"
 _T, _D = "lower(title)", "lower(lead)"
 
 
@@ -51,7 +51,7 @@ def _scored() -> str:
 
 def candidates(spark, sf_dir) -> DataFrame:
     t = F.coalesce("text", F.lit(""))
-    return read(spark, sf_dir, "documents").select("doc_id", "source", F.substring(t, 1, 100).alias("title"), F.substring(t, 101, 400).alias("lead"), (F.col("doc_id") % 7 == 3).alias("seen"))
+    return read(spark, sf_dir, "documents").select("doc_id", "source", F.substring(t, 1, 100).alias("title"), F.expr("substring(coalesce(text, ''), 101)").alias("lead"), (F.col("doc_id") % 7 == 3).alias("seen"))
 
 
 @query(_scored() + " SELECT source, count(*) AS input, count_if(NOT seen) AS unseen, count_if(reason IS NULL) AS passed FROM r GROUP BY source")
@@ -324,12 +324,12 @@ def ngram_guard(spark, sf_dir):
     return d.select("doc_id", "g").join(b.select("g").distinct(), "g", "left_semi").groupBy("doc_id").agg(F.count(F.lit(1)).alias("shared"))
 
 
-_TOK = "t AS (SELECT doc_id, list_distinct(list_filter(regexp_split_to_array(lower(substr(coalesce(text, ''), 1, 400)), '[^\\p{L}\\p{N}]+'), lambda x: length(x) >= 2 AND NOT regexp_matches(x, '^[0-9]+$'))) AS w FROM documents)"
+_TOK = "t AS (SELECT doc_id, list_distinct(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: length(x) >= 2 AND NOT regexp_matches(x, '^[0-9]+$'))) AS w FROM documents)"
 _PAIR = f"WITH RECURSIVE {_TOK}, u AS (SELECT doc_id, len(w) AS n, unnest(w) AS x FROM t), i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k, any_value(a.n) AS na, any_value(b.n) AS nb FROM u a JOIN u b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2), p AS (SELECT a, b, floor(k / (na + nb - k) * 100 + 0.5) / 100 AS jaccard FROM i WHERE k / (na + nb - k) >= 0.55)"
 
 
 def likely_pairs(spark, sf_dir):
-    d = read(spark, sf_dir, "documents").select("doc_id", text.tokens(F.substring("text", 1, 400)).alias("tokens"))
+    d = read(spark, sf_dir, "documents").select("doc_id", text.tokens(F.col("text")).alias("tokens"))
     return similar.jaccard_pairs(d, "doc_id", "tokens", 0.55)
 
 
