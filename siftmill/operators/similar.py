@@ -16,7 +16,8 @@ def jaccard_pairs(df: DataFrame, key: str, tokens: str, least: float) -> DataFra
     """``a, b, jaccard`` (a < b) for all pairs of token sets at ``least`` or more.
 
     Prefix filter: tokens are ordered from rare to common, and a pair that is near enough shares one of each side's
-    first ``size - ceil(least * size) + 1``; so the join is on few rare tokens and loses no pair. Equal sets are
+    first ``size - ceil(least * size) + 1``; so the join is on few rare tokens and loses no pair. The number of these that
+    they share bounds their intersection; only pairs that can still be near enough are compared whole. Equal sets are
     joined as one, and expanded at the end."""
     sets = df.where(F.size(tokens) > 0).groupBy(F.col(tokens).alias("t")).agg(F.min(key).alias("rep"), F.collect_list(key).alias("ids"))
     use = sets.select("rep", F.size("t").alias("n"), F.explode("t").alias("w"))
@@ -25,7 +26,10 @@ def jaccard_pairs(df: DataFrame, key: str, tokens: str, least: float) -> DataFra
     prefix = ranked.where(F.col("k") <= F.col("n") - F.ceil(F.col("n") * F.lit(least) - 1e-9) + 1).select("rep", "n", "w")
     a, b = prefix.select(F.col("rep").alias("a"), F.col("n").alias("na"), "w"), prefix.select(F.col("rep").alias("b"), F.col("n").alias("nb"), "w")
     near = a.join(b, "w").where("a < b").where((F.col("nb") >= F.col("na") * least - 1e-9) & (F.col("na") >= F.col("nb") * least - 1e-9))
-    near = near.select("a", "b").distinct()
+    # what two prefixes don't share lies beyond the one that ends first: its side's rest bounds the further words in common
+    rest = F.ceil(F.greatest("na", "nb") * F.lit(least) - 1e-9) - 1
+    near = near.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("c"))
+    near = near.where(F.col("c") + rest >= (F.col("na") + F.col("nb")) * (least / (1 + least)) - 1e-6).select("a", "b")
     one, two = sets.select(F.col("rep").alias("a"), F.col("t").alias("ta"), F.col("ids").alias("ia")), sets.select(F.col("rep").alias("b"), F.col("t").alias("tb"), F.col("ids").alias("ib"))
     both = F.size(F.array_intersect("ta", "tb"))
     found = near.join(one, "a").join(two, "b").withColumn("j", both / (F.size("ta") + F.size("tb") - both)).where(F.col("j") >= least)
