@@ -72,15 +72,16 @@ def signature(s: np.ndarray) -> bytes:
 
 def regions(paths: np.ndarray) -> list[tuple[int, int]]:
     """Ranges of sorted ``paths`` whose neighbours share at least LEAST values; those above BLOCK go deeper, that is,
-    are split at their shortest common prefix nearest the middle."""
+    are split at their shortest common prefix nearest the middle. A further range lies over each cut, so that what a
+    cut parts meets there: equal paths would be cut at the same places in every tree."""
     if len(paths) < 2:
         return []
     same = paths[1:] == paths[:-1]
     lcp = np.where(same.all(1), paths.shape[1], same.argmin(1))
     edges = [0, *(np.flatnonzero(lcp < LEAST) + 1).tolist(), len(paths)]
-    out, todo = [], [(a, b) for a, b in zip(edges, edges[1:], strict=False) if b - a > 1]
+    out, todo = [], [(a, b, a, b) for a, b in zip(edges, edges[1:], strict=False) if b - a > 1]
     while todo:
-        a, b = todo.pop()
+        a, b, first, last = todo.pop()
         if b - a <= BLOCK:
             if b - a > 1:
                 out.append((a, b))
@@ -89,7 +90,8 @@ def regions(paths: np.ndarray) -> list[tuple[int, int]]:
         inner = lcp[a + third : b - third - 1]
         low = np.flatnonzero(inner == inner.min())
         cut = a + third + 1 + int(low[np.abs(low - len(inner) // 2).argmin()])
-        todo += [(a, cut), (cut, b)]
+        out.append((max(first, cut - BLOCK // 2), min(last, cut + BLOCK // 2)))
+        todo += [(a, cut, first, last), (cut, b, first, last)]
     return out
 
 
@@ -110,42 +112,54 @@ class Forest:
         return i != j
 
 
+def linked(near: np.ndarray) -> np.ndarray:
+    """The smallest row that each row reaches, by a symmetric matrix of neighbours that holds the diagonal."""
+    low = np.arange(len(near))
+    while True:
+        after = np.where(near, low, len(near)).min(1)
+        after = after[after]
+        if (after == low).all():
+            return low
+        low = after
+
+
 def candidates(batches):
     """Sorted rows ``tree, path, key`` -> for every region the members with a neighbour in it: ``region, key, parent``.
-    Two members are neighbours if enough of their whole signatures agree; parents join the neighbours of a region."""
+    Two members are neighbours if enough of their whole signatures agree; parents join the neighbours of a table's regions."""
 
-    def emit(rows: pa.Table):
+    def emit(turn: int, rows: pa.Table):
         paths = np.frombuffer(b"".join(rows["path"].to_pylist()), np.uint8).reshape(-1, VALUES)
         keys, tree = rows["key"].to_pylist(), rows["tree"][0].as_py()
-        out = []
+        forest, met = Forest(len(keys)), []
         for a, b in regions(paths):
             near = (paths[a:b, None] == paths[None, a:b]).sum(2) >= AGREE
             if near.sum() == b - a:
                 continue
-            forest = Forest(b - a)
-            for i, j in zip(*np.nonzero(np.triu(near, 1)), strict=True):
-                forest.join(int(i), int(j))
-            name = xxhash.xxh3_64_intdigest(bytes([tree]) + paths[a].tobytes() + keys[a].to_bytes(8, "little", signed=True)) >> 1
-            met = near.sum(1) > 1
-            out += [(name, keys[a + i], keys[a + forest.root(i)]) for i in range(b - a) if met[i]]
+            for i, j in enumerate(linked(near).tolist()):
+                forest.join(a + i, a + j)
+            place = b"".join(x.to_bytes(8, "little", signed=True) for x in (keys[a], b - a, turn))
+            name = xxhash.xxh3_64_intdigest(bytes([tree]) + paths[a].tobytes() + place) >> 1
+            met += [(name, a + i) for i in np.flatnonzero(near.sum(1) > 1).tolist()]
+        out = [(name, keys[i], keys[forest.root(i)]) for name, i in met]
         cols = list(zip(*out, strict=True)) or [[], [], []]
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["region", "key", "parent"])
 
-    for g in runs(batches):
-        yield emit(g)
+    for turn, g in enumerate(runs(batches)):
+        yield emit(turn, g)
 
 
 def runs(batches, most: int = 50_000):
-    """Tables of whole regions of one tree: a table ends where the tree or the first LEAST values change, or at ``most`` rows."""
+    """Tables of whole regions of one tree: a table ends where the tree or the first LEAST values change. One ends at ``most``
+    rows if nothing changes; the next then begins with its last rows, so that both meet in these."""
     held = None
     for b in batches:
         t = pa.Table.from_batches([b])
         held = t if held is None else pa.concat_tables([held, t]).combine_chunks()
         while held.num_rows > most:
             marks = list(zip(held["tree"].to_pylist(), (p[:LEAST] for p in held["path"].to_pylist()), strict=True))
-            at = next((i for i in range(most, 0, -1) if marks[i] != marks[i - 1]), most)
-            yield from by_tree(held.slice(0, at))
-            held = held.slice(at)
+            at = next((i for i in range(most, 0, -1) if marks[i] != marks[i - 1]), None)
+            yield from by_tree(held.slice(0, at or most))
+            held = held.slice(at or most - min(BLOCK, most // 2))
     if held is not None and held.num_rows:
         yield from by_tree(held)
 

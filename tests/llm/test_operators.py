@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,6 +87,34 @@ def test_near_duplicates(request, monkeypatch, name, block):
     assert {tuple(r) for r in minhash.near_duplicates(df).collect()} == brute_near(pairs(df))
 
 
+def test_near_duplicates_equal_signatures(spark):
+    """More near copies than a block holds, with equal signatures: each tree sorts them alike."""
+    words = [f"w{i}" for i in range(3000)]
+    base, texts = minhash.signature(minhash.shingles(" ".join(words))), []
+    for i in range(0, 3000, 4):
+        t = " ".join([*words[:i], f"own{i}", *words[i + 1 :]])
+        if minhash.signature(minhash.shingles(t)) == base:
+            texts.append(t)
+    rows = list(enumerate(texts[:300]))
+    assert len(rows) == 300
+    out = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r["component_id"] for r in out} == {0} and sum(r["kept"] for r in out) == 1
+
+
+def test_candidates_meet_over_cuts():
+    """Rows that all agree make one chain over cut regions and over cut tables."""
+    path, n = b"x" * minhash.VALUES, 1000
+    batch = pa.RecordBatch.from_arrays([pa.array([0] * n, pa.int32()), pa.array([path] * n, pa.binary()), pa.array(range(n), pa.int64())], ["tree", "path", "key"])
+    assert max(b - a for a, b in minhash.regions(np.zeros((n, 64), np.uint8))) <= minhash.BLOCK
+    for most in (50_000, 300):
+        tables = [t["key"].to_pylist() for t in minhash.runs([batch], most)]
+        assert sorted({k for t in tables for k in t}) == list(range(n))
+        assert all(set(a) & set(b) for a, b in itertools.pairwise(tables))
+    rows = [r for b in minhash.candidates([batch]) for r in b.to_pylist()]
+    assert {r["key"] for r in rows} == set(range(n)) and {r["parent"] for r in rows} == {0}
+    assert max(Counter(r["region"] for r in rows).values()) <= minhash.BLOCK
+
+
 def test_near_duplicates_odd_rows(spark, empty):
     assert minhash.near_duplicates(empty).count() == 0
     rows = [(7, "a b c d"), (7, "a b c d"), (7, "other words here now"), (9, "other words here now"), (None, "a b c d"), (None, None)]
