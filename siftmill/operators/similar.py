@@ -39,6 +39,11 @@ def jaccard_pairs(df: DataFrame, key: str, tokens: str, least: float) -> DataFra
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), half_up(F.col("j"), 2).alias("jaccard"))
 
 
+def both_ways(pairs: DataFrame) -> DataFrame:
+    """Each pair twice, once from either end, so that a document's matches can be ranked whatever their ids."""
+    return pairs.unionByName(pairs.withColumns({"a": F.col("b"), "b": F.col("a")}))
+
+
 def level(c):
     return F.when(c >= LEVELS[0][1], LEVELS[0][0]).when(c >= LEVELS[1][1], LEVELS[1][0]).otherwise("none")
 

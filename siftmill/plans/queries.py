@@ -346,3 +346,8 @@ def components(spark, sf_dir):
 @query(_PAIR + " SELECT a, b, jaccard, rank FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY jaccard DESC, b) AS rank FROM p) WHERE rank <= 5")
 def topk_matches(spark, sf_dir):
     return readmodel.top_k(likely_pairs(spark, sf_dir), "a", [F.desc("jaccard"), F.col("b")], 5)
+
+
+@query(_PAIR + ", e AS (SELECT * FROM p UNION ALL SELECT b, a, jaccard FROM p) SELECT a, b, jaccard, rank FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY jaccard DESC, b) AS rank FROM e) WHERE rank <= 5")
+def topk_matches_both_ways(spark, sf_dir):
+    return readmodel.top_k(similar.both_ways(likely_pairs(spark, sf_dir)), "a", [F.desc("jaccard"), F.col("b")], 5)

@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from siftmill.functions import dates, text, url
-from siftmill.operators import score, similar, state
+from siftmill.operators import readmodel, score, similar, state
 from siftmill.sources import catalogue
 from siftmill.streaming import ledger
 
@@ -89,3 +89,9 @@ def test_ledger_stream(spark, sf_dir, tmp_path):
     assert sorted(r["user_id"] for r in out.collect()) == sorted(r["user_id"] for r in src.select("user_id").distinct().collect())
     again = ledger.dedup_to_table(spark, stream, "user_id", "ts", str(tmp_path / "out"), str(tmp_path / "cp"))
     assert again.count() == out.count()  # nothing twice
+
+
+def test_matches_from_either_end(spark):
+    pairs = spark.createDataFrame([(1, 2, 0.6), (1, 3, 0.9), (2, 3, 0.7)], "a int, b int, jaccard double")
+    best = readmodel.top_k(similar.both_ways(pairs), "a", [F.desc("jaccard"), F.col("b")], 1)
+    assert {(r.a, r.b, r.jaccard) for r in best.collect()} == {(1, 3, 0.9), (2, 3, 0.7), (3, 1, 0.9)}
