@@ -27,6 +27,12 @@ def unique(df: DataFrame, key: str, rule: str = "unique") -> DataFrame:
     return n.select(_row(rule, "error", F.col(key), key, F.col("n")).alias("v")).select("v.*")
 
 
+def crowded(df: DataFrame, by: str, most: int, rule: str) -> DataFrame:
+    """Groups of more than ``most`` rows, with their number."""
+    n = df.groupBy(by).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most)
+    return n.select(_row(rule, "error", F.col(by), by, F.col("n")).alias("v")).select("v.*")
+
+
 def references(df: DataFrame, key: str, field: str, other: DataFrame, other_key: str, rule: str) -> DataFrame:
     """Values of ``field`` that no row of ``other`` has; null refers to nothing."""
     known = other.select(F.col(other_key).alias(field)).distinct()

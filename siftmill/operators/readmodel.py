@@ -38,7 +38,7 @@ def ratio(n: Column, d: Column) -> Column:
 
 def rank_ids(df: DataFrame, group: str, order: list[Column], stem: Column) -> DataFrame:
     n = F.row_number().over(Window.partitionBy(group).orderBy(*order))
-    return df.withColumn("item_id", F.concat(stem, F.lit("-"), F.lpad(n.cast("string"), 2, "0"))).withColumn("nn", n)
+    return df.withColumn("item_id", F.concat(stem, F.lit("-"), F.when(n < 10, F.lpad(n.cast("string"), 2, "0")).otherwise(n.cast("string")))).withColumn("nn", n)
 
 
 def top_k(df: DataFrame, by: str, order: list[Column], k: int) -> DataFrame:

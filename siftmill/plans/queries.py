@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftmill.functions import dates, text, url
-from siftmill.operators import readmodel, score, similar, state
+from siftmill.operators import checks, readmodel, score, similar, state
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -271,7 +271,12 @@ def missing_judgments(spark, sf_dir):
 def rank_ids(spark, sf_dir):
     o = read(spark, sf_dir, "orders").withColumn("day", F.to_date("o_orderdate"))
     out = readmodel.rank_ids(o, "day", [F.col("o_orderpriority"), F.col("o_orderstatus"), F.col("o_orderkey")], F.date_format("day", "yyMMdd"))
-    return out.where("nn <= 99").select("o_orderkey", "item_id")
+    return out.select("o_orderkey", "item_id")
+
+
+@query("SELECT 'rank' AS rule, 'error' AS severity, strftime(o_orderdate, '%Y-%m-%d') AS entity, 'day' AS field, count(*)::VARCHAR AS message FROM orders GROUP BY entity HAVING count(*) > 99")
+def rank_id_violations(spark, sf_dir):
+    return checks.crowded(read(spark, sf_dir, "orders").withColumn("day", F.to_date("o_orderdate")), "day", 99, "rank")
 
 
 _SNAP = "SELECT o_orderkey, o_orderstatus, o_totalprice"

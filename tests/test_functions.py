@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from siftmill.functions import dates, text, url
 from siftmill.operators import readmodel, score, similar, state
+from siftmill.plans import queries
 from siftmill.sources import catalogue
 from siftmill.streaming import ledger
 
@@ -95,3 +96,11 @@ def test_matches_from_either_end(spark):
     pairs = spark.createDataFrame([(1, 2, 0.6), (1, 3, 0.9), (2, 3, 0.7)], "a int, b int, jaccard double")
     best = readmodel.top_k(similar.both_ways(pairs), "a", [F.desc("jaccard"), F.col("b")], 1)
     assert {(r.a, r.b, r.jaccard) for r in best.collect()} == {(1, 3, 0.9), (2, 3, 0.7), (3, 1, 0.9)}
+
+
+def test_rank_ids_above_99(spark, tmp_path):
+    rows = "SELECT id AS o_orderkey, 'O' AS o_orderstatus, '1-URGENT' AS o_orderpriority, TIMESTAMP_NTZ '2024-01-05 00:00:00' AS o_orderdate FROM range(1, 124)"
+    spark.sql(rows).write.parquet(f"{tmp_path}/orders.parquet")
+    got = {r.o_orderkey: r.item_id for r in queries.rank_ids(spark, str(tmp_path)).collect()}
+    assert len(got) == 123 and (got[1], got[99], got[123]) == ("240105-01", "240105-99", "240105-123")
+    assert [tuple(r) for r in queries.rank_id_violations(spark, str(tmp_path)).collect()] == [("rank", "error", "2024-01-05", "day", "123")]
