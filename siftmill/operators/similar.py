@@ -39,6 +39,25 @@ def jaccard_pairs(df: DataFrame, key: str, tokens: str, least: float) -> DataFra
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), half_up(F.col("j"), 2).alias("jaccard"))
 
 
+def scored_pairs(df: DataFrame, key: str) -> DataFrame:
+    """``a, b, jaccard, proper, figures, cves, score, level`` (a < b) for all pairs that are possible or likely, from columns
+    ``tokens, proper, figures, cves``.
+
+    What shares no name, figure or identifier scores its Jaccard, rounded: so candidates are the pairs at 0.345 and those
+    that share one of these, and no pair is lost. A name that very many rows have gives the square of their number."""
+    use = df.select(key, F.explode(F.concat(*[F.transform(c, lambda x, c=c: F.concat(F.lit(f"{c}:"), x)) for c in ("proper", "figures", "cves")])).alias("k"))
+    shared = use.withColumnRenamed(key, "a").join(use.withColumnRenamed(key, "b"), "k").where("a < b").select("a", "b").distinct()
+    pairs = jaccard_pairs(df, key, "tokens", LEVELS[1][1] - 0.005).select("a", "b").union(shared).distinct()
+    side = lambda name: df.select(F.col(key).alias(name), F.struct("tokens", "proper", "figures", "cves").alias(f"{name}s"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    common = lambda c: F.size(F.array_intersect(f"as.{c}", f"bs.{c}"))
+    words, union = common("tokens"), F.size("as.tokens") + F.size("bs.tokens") - common("tokens")
+    both = both.select("a", "b", F.when(union > 0, words / union).otherwise(0.0).alias("j"), *[common(c).alias(c) for c in ("proper", "figures", "cves")], F.least(F.size("as.cves"), F.size("bs.cves")).alias("fewest"))
+    score = pair_score(F.col("j"), F.col("proper"), F.col("figures"), F.col("cves"), F.col("fewest"), F.lit(False))
+    out = both.select("a", "b", half_up(F.col("j"), 2).alias("jaccard"), "proper", "figures", "cves", score.alias("score"))
+    return out.withColumn("level", level(F.col("score"))).where("level != 'none'")
+
+
 def both_ways(pairs: DataFrame) -> DataFrame:
     """Each pair twice, once from either end, so that a document's matches can be ranked whatever their ids."""
     return pairs.unionByName(pairs.withColumns({"a": F.col("b"), "b": F.col("a")}))

@@ -37,6 +37,13 @@ def shared_number_bonus(spark, sf_dir):
     return p.select("a", "b", "shared", similar.pair_score(F.col("jaccard"), none, F.col("shared"), none, none, F.lit(False)).alias("score"))
 
 
+@query()
+def scored_pairs(spark, sf_dir):
+    t = F.col("text")
+    d = read(spark, sf_dir, "documents").select("doc_id", text.tokens(t).alias("tokens"), extract.proper_nouns(t).alias("proper"), extract.numbers(t).alias("figures"), extract.cves(t).alias("cves"))
+    return similar.scored_pairs(d, "doc_id")
+
+
 @query(f"SELECT conv_id, turn, lower(regexp_extract(coalesce(text, ''), '{extract._SPEAKER}', 1)) AS word FROM conversations")
 def first_person_lint(spark, sf_dir):
     return read(spark, sf_dir, "conversations").select("conv_id", "turn", extract.first_person(F.col("text")).alias("word"))

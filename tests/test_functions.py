@@ -1,6 +1,7 @@
 """Column functions on rows of our own, daylight-saving days included; feeds, catalogues, ledger stream."""
 
 import json
+import math
 
 from pyspark.sql import functions as F
 
@@ -104,3 +105,26 @@ def test_rank_ids_above_99(spark, tmp_path):
     got = {r.o_orderkey: r.item_id for r in queries.rank_ids(spark, str(tmp_path)).collect()}
     assert len(got) == 123 and (got[1], got[99], got[123]) == ("240105-01", "240105-99", "240105-123")
     assert [tuple(r) for r in queries.rank_id_violations(spark, str(tmp_path)).collect()] == [("rank", "error", "2024-01-05", "day", "123")]
+
+
+def test_scored_pairs_brute_force(spark):
+    import itertools
+    import random
+
+    rng = random.Random(3)
+    some = lambda letters, n: sorted(rng.sample(letters, rng.randint(0, n)))
+    rows = [(i, some("abcdefghijkl", 9), some("PQRSTUVW", 3), some("123456", 2), some("xyzuvw", 3) if i % 5 == 0 else []) for i in range(80)]
+    rows += [(80, list("abcd"), [], ["1", "2"], []), (81, list("abef"), [], ["1", "2"], []), (82, list("abc"), [], ["7", "8"], []), (83, list("abd"), [], ["7", "8"], [])]
+    df = spark.createDataFrame(rows, "id int, tokens array<string>, proper array<string>, figures array<string>, cves array<string>")
+    got = {(r.a, r.b): (r.score, r.level) for r in similar.scored_pairs(df, "id").collect()}
+    want = {}
+    for (i, *x), (j, *y) in itertools.combinations(rows, 2):
+        t, p, n, c = (len(set(u) & set(v)) for u, v in zip(x, y, strict=True))
+        s = (t / len(set(x[0]) | set(y[0])) if t else 0) + 0.12 * min(p, 3) + 0.08 * min(n, 2)
+        if c:
+            s = max(s, 0.9 if min(len(x[3]), len(y[3])) <= 2 else 0.6)
+        s = math.floor(min(s, 1) * 100 + 0.5) / 100
+        if s >= 0.35:
+            want[i, j] = (s, "likely" if s >= 0.55 else "possible")
+    assert got == want
+    assert got[82, 83] == (0.66, "likely")  # Jaccard 0.5 and two figures
