@@ -56,7 +56,9 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
     URLs that a rule fits are the labelled ones: they get its verdict, and at most ``sample`` of them (of least hash)
     train the trees, which judge the others. Without labels of both kinds every other URL gets the one label there is,
     or ``allow``. Null URLs and those without ``://`` have empty host and path, and are judged by the trees. Rows
-    repeated, or with null ids, are judged each; an empty table gives no rows. Nothing but the sample is shuffled."""
+    repeated, or with null ids, are judged each; an empty table gives no rows.
+    Suffixes are counted over all labelled URLs. Only the sample and these counts are shuffled, and the join where there
+    are more than ``sample`` suffixes."""
     host, path = host_path(F.col(url_col))
     parts = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host.alias("host"), path.alias("path"))
     rule, verdict = first_rule(rules, F.col("host"), F.col("path"))
@@ -67,9 +69,11 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
     if len(classes) < 2:
         only = "block" if 1.0 in classes else "allow"
         return known.select("page_id", "host", "path", "rule", F.coalesce("verdict", F.lit(only)).alias("verdict"))
-    base = classes[1.0] / sum(classes.values())
-    seen = chosen.groupBy("suffix").agg(F.log1p(F.count(F.lit(1))).alias("suffix_seen"), ((F.sum("label") + 10 * base) / (F.count(F.lit(1)) + 10)).alias("suffix_blocked"))
-    seen = F.broadcast(staged(seen))  # at most ``sample`` suffixes
+    counts = known.where("rule IS NOT NULL").groupBy("suffix").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("verdict") == "block").alias("blocks"))
+    counts, total = staged(counts, F.count(F.lit(1)).alias("suffixes"), F.sum("n").alias("n"), F.sum("blocks").alias("blocks"))
+    base = total["blocks"] / total["n"]
+    seen = counts.select("suffix", F.log1p("n").alias("suffix_seen"), ((F.col("blocks") + 10 * base) / (F.col("n") + 10)).alias("suffix_blocked"))
+    seen = F.broadcast(seen) if total["suffixes"] <= sample else seen
     ready = lambda df: VectorAssembler(inputCols=list(LEXICAL), outputCol="features").transform(df.join(seen, "suffix", "left").fillna({"suffix_seen": 0.0, "suffix_blocked": base}))
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, cacheNodeIds=False).fit(ready(chosen).select("features", "label"))
     model.setPredictionCol("blocked")

@@ -143,6 +143,25 @@ def test_components_long_path(spark):
 # ---- 2 URL filters
 
 
+def test_suffixes_counted_over_all_labels(spark, monkeypatch):
+    class Stop(Exception):
+        pass
+
+    class Trees:
+        def __init__(self, **_):
+            pass
+
+        def fit(self, df):
+            raise Stop(max(r.features[urls.LEXICAL.index("suffix_seen")] for r in df.collect()))
+
+    rows = [(i, f"http://a{i}.org/{'' if i % 2 else 'en/'}") for i in range(60)]
+    rules = [("allow", "org", "/en/"), ("block", "org", "/")]
+    monkeypatch.setattr(urls, "GBTClassifier", Trees)
+    with pytest.raises(Stop) as e:
+        urls.judge(spark.createDataFrame(rows, "page_id long, url string"), rules=rules, sample=20)
+    assert abs(e.value.args[0] - np.log1p(60)) < 1e-9  # the sample alone has 20
+
+
 def brute_rule(url):
     host = path = ""
     if url and "://" in url:
