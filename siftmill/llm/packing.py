@@ -6,11 +6,12 @@ import heapq
 import zlib
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftmill.llm.common import grouped, staged, table
-from siftmill.llm.tokens import default_path, per_text, prove_whole
+from siftmill.llm.tokens import per_text, shared_encoder
 
 WINDOW, END_ID = 2048, 1
 #: What a document has beyond its full windows is cut into pieces of so many tokens at most, so that windows can be
@@ -66,23 +67,27 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     A null or empty text is a document of the end id alone. Rows repeated with one id are documents of their own,
     each with its own pieces. An empty table gives no rows. Token ids stay in the task that makes them: only pieces'
-    lengths and checksums are shuffled, into bins of bounded size (by a hash of id and start, so that neither a very
-    long document nor an id with many rows fills one bin) that are packed apart. Sequence ids are unique, not gapless."""
-    shared = docs.sparkSession.sparkContext.broadcast(prove_whole(path or default_path()))
+    lengths and checksums are shuffled, into bins of bounded size (by a hash of the piece's number in the task that cut it, so that
+    neither a very long document nor rows repeated many times fill one bin) that are packed apart. Sequence ids are unique, not gapless."""
+    shared = shared_encoder(docs.sparkSession, path)
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
     end = end_id.to_bytes(4, "little")
 
     def pieces(batches):
-        encode = per_text(shared)
+        encode, number = per_text(shared), TaskContext.get().partitionId() << 40
         for b in batches:
-            rows = []
+            docs_, starts, lengths, sums, totals = [], [], [], [], []
             for doc, ids in zip(b["doc_id"].to_pylist(), encode(b["text"]), strict=True):
-                ids += end
-                rows += [(doc, s, n, zlib.crc32(memoryview(ids)[4 * s : 4 * (s + n)]), len(ids) // 4) for s, n in cut(len(ids) // 4, window, piece)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)] if rows else [pa.array([], pa.int64())] * 5, names)
+                ids = memoryview(ids + end)
+                total = len(ids) // 4
+                for s, n in cut(total, window, piece):
+                    docs_.append(doc), starts.append(s), lengths.append(n), totals.append(total)
+                    sums.append(zlib.crc32(ids[4 * s : 4 * (s + n)]))
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in (docs_, starts, lengths, sums, totals)), pa.array(range(number, number + len(docs_)), pa.int64())], [*names, "number"])
+            number += len(docs_)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    cuts, seen = staged(rows.mapInArrow(pieces, ", ".join(f"{n} long" for n in names)), F.count(F.lit(1)).alias("n"))
+    cuts, seen = staged(rows.mapInArrow(pieces, ", ".join(f"{n} long" for n in [*names, "number"])), F.count(F.lit(1)).alias("n"))
     bins = max(1, -(-seen["n"] // per_bin))
 
     def fill(batches):
@@ -103,7 +108,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 out = part.select(names).append_column("sequence_id", pa.array(seqs, pa.int64())).append_column("offset", pa.array(offsets, pa.int64()))
                 yield from out.combine_chunks().to_batches()
 
-    binned = cuts.withColumn("bin", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(bins)))
+    binned = cuts.withColumn("bin", F.pmod(F.xxhash64("number"), F.lit(bins)))
     return binned.repartition("bin").sortWithinPartitions("bin", *names).mapInArrow(fill, ", ".join(f"{n} long" for n in [*names, "sequence_id", "offset"]))
 
 
