@@ -7,113 +7,169 @@ import hashlib
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftmill.llm.common import grouped, staged, table
-from siftmill.llm.minhash import hashes, mixed
+from siftmill.llm.words import joined_words, places, runs_of, word_hashes
 
 #: Words in a window, and in the phrases that anchor windows.
 WINDOW, PHRASE = 20, 8
 #: Contexts in one automaton, at least.
 SHARD = 4000
 #: A phrase with more occurrences is dealt out window by window, salted. None: more than a partition's fair share of all
-#: occurrences, and than LEAST_HOT.
-HOT, LEAST_HOT = None, 1000
-_P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+#: occurrences, but not fewer than LEAST_HOT nor more than MOST_WORDS / window, which bounds what one task holds.
+HOT, LEAST_HOT, MOST_WORDS = None, 1000, 500_000
+#: Bytes of texts that are hashed together.
+TOGETHER = 1 << 20
 LAST = 2**63 - 1
 
 
-def phrases(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def together(texts: list[str | None]):
+    """Runs of texts, some TOGETHER bytes each: ``(first, joined words of each text)``."""
+    held, size, first = [], 0, 0
+    for i, t in enumerate(texts):
+        held.append(joined_words(t))
+        size += len(held[-1])
+        if size > TOGETHER:
+            yield first, held
+            held, size, first = [], 0, i + 1
+    if held:
+        yield first, held
+
+
+class Places:
+    """Words of several joined texts, laid end to end."""
+
+    def __init__(self, texts: list[bytes]):
+        self.raw = b" ".join(t for t in texts if t)
+        self.starts, self.ends = places(self.raw)
+        self.count = np.array([t.count(b" ") + 1 if t else 0 for t in texts], np.int64)
+        self.first = np.concatenate([[0], np.cumsum(self.count)])
+        self.text = np.repeat(np.arange(len(texts)), self.count)
+        self.hash = word_hashes(self.raw, self.starts, self.ends)
+
+    def windows(self, size: int) -> np.ndarray:
+        """Places of the windows that lie within one text."""
+        last = len(self.hash) - size + 1
+        return np.flatnonzero(self.text[:last] == self.text[size - 1 :]) if last > 0 else np.empty(0, np.int64)
+
+
+def phrases(words: Places, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Anchor, first and last window start of every run of windows that have one anchor: the phrase of least hash in the
     window, leftmost if repeated. Equal windows have equal anchors at equal places."""
-    h = hashes().of(words)
-    n = len(h) - window + 1
-    if n < 1:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-    g, size = h, 1
-    while 2 * size <= min(PHRASE, window):  # phrases of 1, 2, 4, 8 words
-        g, size = mixed(g[:-size] * _P + g[size:] * _Q + np.uint64(size)), 2 * size
-    # the least hash, leftmost if its upper bits repeat: places are in the lower bits
-    bits = np.uint64(len(g).bit_length())
-    low = g >> bits << bits | np.arange(len(g), dtype=np.uint64)
-    width, span = window - size + 1, 1
-    while 2 * span <= width:
-        low, span = np.minimum(low[:-span], low[span:]), 2 * span
-    low = np.minimum(low[:n], low[width - span : width - span + n])
-    at = (low & (np.uint64(1) << bits) - np.uint64(1)).astype(np.int64)
-    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    return g[at[first]], first, np.concatenate([first[1:], [n]]) - 1
-
-
-def located(contexts: list[tuple], window: int, salted: dict):
-    """Occurrences ``(doc, row, start, words)`` of contexts -> ranges of words ``(doc, row, from, to)`` whose windows start
-    earlier elsewhere, and the first occurrences of the contexts in ``salted``, for comparison with other shards.
-
-    Windows met twice are confirmed passages; an automaton over word numbers is compiled of them, and every distinct
-    context is streamed through it once. Of a context's occurrences only the first can have windows that start nowhere
-    earlier."""
-    where: dict[bytes, list[tuple]] = {}
-    for doc, row, start, words in contexts:
-        where.setdefault(words, []).append((doc, row, start))
-    numbers: dict[bytes, int] = {}
-    texts = [(tuple(numbers.setdefault(w, len(numbers)) for w in words.split(b" ")), min(own), own) for words, own in where.items()]
-    met: dict[tuple, int] = {}
-    for seq, _, own in texts:
-        for k in range(len(seq) - window + 1):
-            met[seq[k : k + window]] = met.get(seq[k : k + window], 0) + len(own)
-    auto = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-    for i, p in enumerate([p for p, n in met.items() if n > 1]):
-        auto.add_word(p, i)
-    out = []
-    if len(auto):
+    at = words.windows(window)
+    size = min(PHRASE, window)
+    g = runs_of(words.hash, size)
+    if not len(at):
+        return np.empty(0, np.int64), at, at
+    width, span, low = window - size + 1, 1, np.arange(len(g))
+    while span < width:  # the leftmost of the least hashes of 1, 2, 4, ... phrases, then of all in a window
+        step = min(span, width - span)
+        left, right = low[:-step], low[step:]
+        low, span = np.where(g[right] < g[left], right, left), span + step
+    anchor = low[at]
+    new = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (at[1:] != at[:-1] + 1)]))
+    return g[anchor[new]].view(np.int64), at[new], at[np.concatenate([new[1:], [len(at)]]) - 1]
+
+
+def automaton_classes(contexts: list[bytes], at: np.ndarray, window: int) -> np.ndarray:
+    """A number for each window (word places ``at`` of ``contexts`` laid end to end): equal if and only if the words are.
+
+    Words are numbered, and become the letters of an automaton; it is compiled of one window for each hash that recurs, and
+    all contexts are streamed through it. Windows that it does not meet (their hash stood for another window) go into a
+    further automaton."""
+    split = pc.split_pattern(pa.array(contexts, pa.binary()).cast(pa.string()), " ")
+    number = split.flatten().dictionary_encode().indices.to_numpy().astype(np.uint32) + 1
+    number[number >= 0xD800] += 0x800  # these are no letters
+    letters = number.tobytes().decode("utf-32-le")
+    ends = np.cumsum(pc.list_value_length(split).to_numpy()).tolist()
+    h = runs_of(number.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), window)[at]
+    out, slot = np.full(len(at), -1), np.full(len(letters), -1)
+    slot[at] = np.arange(len(at))
+    done = 0
+    while (left := np.flatnonzero(out < 0)).size:
+        _, some = np.unique(h[left], return_index=True)
+        auto = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for i, p in enumerate(at[left[some]].tolist()):
+            auto.add_word(letters[p : p + window], done + i)
         auto.make_automaton()
-        hits = [[(end - window + 1, i) for end, i in auto.iter(seq)] if len(seq) >= window else [] for seq, _, _ in texts]
-        first: dict[int, tuple] = {}
-        for (_, (doc, row, start), _), found in zip(texts, hits, strict=True):
-            for k, i in found:
-                at = (doc, row, start + k)
-                if i not in first or at < first[i]:
-                    first[i] = at
-        for (_, (doc, row, start), own), found in zip(texts, hits, strict=True):
-            later = joined([k for k, i in found if first[i] != (doc, row, start + k)], window)
-            every = joined([k for k, _ in found], window)
-            for d, r, s in own:
-                out += [(d, r, s + a, s + b) for a, b in (later if (d, r, s) == (doc, row, start) else every)]
-    return out, [(*salted[words], *least, words) for words, (_, least, _) in zip(where, texts, strict=True) if words in salted]
-
-
-def joined(starts: list[int], window: int) -> list[tuple[int, int]]:
-    out: list[list[int]] = []
-    for s in sorted(starts):
-        if out and s <= out[-1][1]:
-            out[-1][1] = s + window
-        else:
-            out.append([s, s + window])
-    return [(a, b) for a, b in out]
+        begin = 0
+        for end in ends:
+            hits = list(auto.iter(letters, begin, end)) if end - begin >= window else []
+            if hits:
+                where, which = np.array(hits).T
+                mine = slot[where - window + 1]
+                out[mine[mine >= 0]] = which[mine >= 0]
+            begin = end
+        done += len(some)
+    return out
+
+
+def located(g: pa.Table, window: int, forward: bool) -> list[tuple[np.ndarray, ...]]:
+    """Occurrences ``doc, row, start, words`` of contexts -> ranges of words ``doc, row, from, to`` whose windows start
+    earlier elsewhere; with ``forward`` also the first occurrences of salted contexts, for comparison with other shards.
+
+    Equal contexts are one, with a number of occurrences, of which only the first can have windows that start nowhere
+    earlier. Windows of one context overlap and differ. A window whose hash is met in one context alone recurs as that
+    context does; all others are told apart by the automaton, never by a hash."""
+    doc, row, start = (g[c].to_numpy() for c in ("doc", "row", "start"))
+    coded = g["words"].combine_chunks().dictionary_encode()
+    code, contexts = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+    order = np.lexsort((start, row, doc, code))
+    least = order[np.searchsorted(code[order], np.arange(len(contexts)))]
+    times = np.bincount(code, minlength=len(contexts))
+    words = Places(contexts)
+    at = words.windows(window)
+    mine = words.text[at]
+    _, kind, n = np.unique(runs_of(words.hash, window)[at], return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(n[kind] > 1)
+    if len(shared):
+        use, place = np.unique(mine[shared], return_inverse=True)
+        begin = np.concatenate([[0], np.cumsum(words.count[use])])
+        kind[shared] = len(n) + automaton_classes([contexts[c] for c in use.tolist()], begin[place] + at[shared] - words.first[mine[shared]], window)
+    total = np.bincount(kind, times[mine])
+    again = total[kind] > 1
+    at, mine, kind = at[again], mine[again], kind[again]
+    k = at - words.first[mine]
+    by = np.lexsort((start[least[mine]] + k, row[least[mine]], doc[least[mine]], kind))
+    owner = np.zeros(len(at), bool)
+    owner[by[np.concatenate([[True], kind[by][1:] != kind[by][:-1]])] if len(by) else by] = True
+    out = []
+    is_first = np.zeros(len(code), bool)
+    is_first[least] = True
+    for firsts, some in ((False, np.ones(len(at), bool)), (True, ~owner)):
+        lo, hi = np.full(len(contexts), window * len(doc) + len(words.hash)), np.full(len(contexts), -1)
+        np.minimum.at(lo, mine[some], k[some])
+        np.maximum.at(hi, mine[some], k[some])
+        o = np.flatnonzero((is_first == firsts) & (hi[code] >= 0))
+        out.append((doc[o], row[o], start[o] + lo[code[o]], start[o] + hi[code[o]] + window))
+    found = [np.concatenate(c) for c in zip(*out, strict=True)]
+    salted = least[g["salted"].to_numpy()[least] > 0] if forward else least[:0]
+    return found, salted
 
 
 def shards(window: int, forward: bool):
     """Sorted contexts -> removed ranges (``part`` 0) and, of salted ones, first occurrences (``part`` 1)."""
     names = ["part", "anchor", "sub", "doc", "row", "a", "b", "words"]
 
-    def batch(out):
-        cols = list(zip(*out, strict=True)) or [[]] * 8
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if n == "words" else pa.int64()) for n, c in zip(names, cols, strict=True)], names)
-
     def run(batches):
         for g in grouped(batches, "anchor", "sub", "salt", least=SHARD):
-            anchor, sub, hot, doc, row, start, words = (g[c].to_pylist() for c in ("anchor", "sub", "salted", "doc", "row", "start", "words"))
-            salted = {w: (a, s) for w, a, s, h in zip(words, anchor, sub, hot, strict=True) if h} if forward else {}
-            ranges, firsts = located(list(zip(doc, row, start, words, strict=True)), window, salted)
-            yield batch([(0, 0, 0, *r, None) for r in ranges] + [(1, a, s, d, r, at, 0, w) for a, s, d, r, at, w in firsts])
+            (doc, row, a, b), firsts = located(g, window, forward)
+            zero = np.zeros(len(doc), np.int64)
+            yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in (zero, zero, zero, doc, row, a, b)), pa.nulls(len(doc), pa.binary())], names)
+            if len(firsts):
+                t = g.take(pa.array(firsts)).combine_chunks().to_batches()[0]
+                zero = np.zeros(len(firsts), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(zero + 1), *(t[c] for c in ("anchor", "sub", "doc", "row", "start")), pa.array(zero), t["words"]], names)
 
     return run, "part long, anchor long, sub long, doc long, row long, a long, b long, words binary"
 
 
-def digest(words: list[bytes]) -> str:
-    return hashlib.sha256(b" ".join(words)).hexdigest()
+def digest(joined: bytes) -> str:
+    return hashlib.sha256(joined).hexdigest()
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, keep_text: bool = False) -> DataFrame:
@@ -133,41 +189,59 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def scan(batches):
         for b in batches:
-            n, sha, anchors, counts = [], [], [], []
-            for t in b["text"].to_pylist():
-                words = (t or "").encode().split()
-                a, times = np.unique(phrases(words, window)[0].view(np.int64), return_counts=True)
-                n.append(len(words)), sha.append(digest(words)), anchors.append(a), counts.append(times)
-            yield pa.RecordBatch.from_arrays([b["doc_id"], b["doc"], b["row"], pa.array(n, pa.int64()), pa.array(sha), pa.array(anchors, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int64()))], ["doc_id", "doc", "row", "n_words", "sha", "anchors", "times"])
+            for first, texts in together(b["text"].to_pylist()):
+                words = Places(texts)
+                anchor, lo, _ = phrases(words, window)
+                text = words.text[lo]
+                order = np.lexsort((anchor, text))
+                anchor, text = anchor[order], text[order]
+                new = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])])) if len(anchor) else order
+                times = np.diff(np.append(new, len(anchor)))
+                offsets = pa.array(np.searchsorted(text[new], np.arange(len(texts) + 1)), pa.int32())
+                lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (anchor[new], times)]
+                part = b.slice(first, len(texts))
+                yield pa.RecordBatch.from_arrays([part["doc_id"], part["doc"], part["row"], pa.array(words.count), pa.array(map(digest, texts), pa.string()), *lists], ["doc_id", "doc", "row", "n_words", "sha", "anchors", "times"])
 
     base = staged(rows.mapInArrow(scan, "doc_id long, doc long, row long, n_words long, sha string, anchors array<long>, times array<long>"))
     uses = base.select("doc", "row", F.explode(F.arrays_zip("anchors", "times")).alias("u")).select("doc", "row", F.col("u.anchors").alias("anchor"), F.col("u.times").alias("times"))
     often, seen = staged(uses.groupBy("anchor").agg(F.sum("times").alias("n")).where("n > 1"), F.coalesce(F.sum("n"), F.lit(0)).alias("all"))
-    hot = HOT or max(LEAST_HOT, seen["all"] // int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    need = uses.drop("times").join(often, "anchor").groupBy("doc", "row").agg(F.collect_list(F.struct("anchor", "n")).alias("need"))
-    held = staged(rows.join(staged(need), ["doc", "row"]).select("doc", "row", "text", "need"))
+    hot = HOT or max(LEAST_HOT, min(MOST_WORDS // window, seen["all"] // int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    need = uses.drop("times").join(often, "anchor").groupBy("doc", "row").agg(F.collect_set(F.struct("anchor", "n")).alias("need"))
+    held = staged(rows.join(staged(need), ["doc", "row"]).select("doc", "row", "text", "need").dropDuplicates(["doc", "row"]))
 
     def contexts(batches):
         names = ["anchor", "sub", "salt", "salted", "doc", "row", "start", "words"]
         for b in batches:
-            out = []
-            for doc, row, text, need in zip(*(b[c].to_pylist() for c in ("doc", "row", "text", "need")), strict=True):
-                words, wanted = text.encode().split(), {x["anchor"]: x["n"] for x in need}
-                anchors, lo, hi = (x.tolist() for x in (lambda a, s, e: (a.view(np.int64), s, e))(*phrases(words, window)))
-                for a, s, e in zip(anchors, lo, hi, strict=True):
-                    n = wanted.get(a)
-                    if n is None:
-                        continue
-                    if n <= hot:
-                        out.append((a, 0, 0, 0, doc, row, s, b" ".join(words[s : e + window])))
-                        continue
-                    for k in range(s, e + 1):
-                        text_k = b" ".join(words[k : k + window])
-                        salt = xxhash.xxh3_64_intdigest(b"%d %d %d" % (doc, row, k)) % (1 + n // hot)
-                        out.append((a, int.from_bytes(xxhash.xxh3_64_digest(text_k), "little", signed=True), salt, 1, doc, row, k, text_k))
-            for i in range(0, len(out), 20_000):
-                cols = zip(*out[i : i + 20_000], strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if n == "words" else pa.int64()) for n, c in zip(names, cols, strict=True)], names)
+            for first, texts in together(b["text"].to_pylist()):
+                part = b.slice(first, len(texts))
+                wanted = part["need"].flatten()
+                known, which = np.unique(wanted.field("anchor").to_numpy(), return_index=True)
+                often = wanted.field("n").to_numpy()[which]
+                words = Places(texts)
+                anchor, lo, hi = phrases(words, window)
+                at = np.minimum(np.searchsorted(known, anchor), len(known) - 1)
+                n = np.where(known[at] == anchor, often[at], 0) if len(anchor) else anchor
+                docs_, rows_ = part["doc"].to_numpy(), part["row"].to_numpy()
+
+                def batch(anchor, sub, salt, salted, lo, hi):
+                    begin, end, text = words.starts[lo], words.ends[hi + window - 1], words.text[lo]
+                    raw = pa.array([words.raw[i:j] for i, j in zip(begin.tolist(), end.tolist(), strict=True)], pa.binary())
+                    return pa.RecordBatch.from_arrays([*map(pa.array, (anchor, sub, salt, np.full(len(lo), salted), docs_[text], rows_[text], lo - words.first[text])), raw], names)  # noqa: B023
+
+                calm = np.flatnonzero((n > 0) & (n <= hot))
+                for i in range(0, len(calm), 20_000):
+                    some = calm[i : i + 20_000]
+                    zero = np.zeros(len(some), np.int64)
+                    yield batch(anchor[some], zero, zero, 0, lo[some], hi[some])
+                crowded = np.flatnonzero(n > hot)
+                if len(crowded):  # one context for each window
+                    each = np.repeat(crowded, (hi - lo + 1)[crowded])
+                    k = lo[each] + np.arange(len(each)) - np.repeat(np.cumsum((hi - lo + 1)[crowded]) - (hi - lo + 1)[crowded], (hi - lo + 1)[crowded])
+                    sub = runs_of(words.hash, window)[k].view(np.int64)
+                    place = np.stack([docs_[words.text[k]], rows_[words.text[k]], k - words.first[words.text[k]]], 1)
+                    salt = np.array([xxhash.xxh3_64_intdigest(p.tobytes()) % (1 + m // hot) for p, m in zip(place, n[each].tolist(), strict=True)], np.int64)
+                    for i in range(0, len(k), 20_000):
+                        yield batch(*(x[i : i + 20_000] for x in (anchor[each], sub, salt)), 1, k[i : i + 20_000], k[i : i + 20_000])
 
     dealt = held.mapInArrow(contexts, "anchor long, sub long, salt long, salted long, doc long, row long, start long, words binary")
     dealt = dealt.repartition("anchor", "sub", "salt").sortWithinPartitions("anchor", "sub", "salt")
@@ -183,17 +257,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         names = ["doc", "row", "n_removed", "sha_kept", "kept_text"]
         for b in batches:
             out = []
-            for doc, row, text, cuts in zip(*(b[c].to_pylist() for c in ("doc", "row", "text", "ranges")), strict=True):
-                words = text.encode().split()
-                gone = np.zeros(len(words), bool)
-                for c in cuts:
-                    gone[c["a"] : c["b"]] = True
-                kept = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
-                out.append((doc, row, len(words) - len(kept), digest(kept), b" ".join(kept).decode() if keep_text else None))
+            for doc, row, text, cuts in zip(*(b[c] for c in ("doc", "row", "text", "ranges")), strict=True):
+                joined = joined_words(text.as_py())
+                starts, ends = places(joined)
+                cuts = np.stack([cuts.values.field(c).to_numpy() for c in ("a", "b")], 1)
+                cuts = cuts[np.lexsort((cuts[:, 1], cuts[:, 0]))]
+                upto = np.maximum.accumulate(cuts[:, 1])
+                new = np.flatnonzero(np.concatenate([[True], cuts[1:, 0] > upto[:-1]]))
+                gone_from, gone_to = cuts[new, 0], upto[np.append(new[1:], len(cuts)) - 1]
+                kept = [joined[starts[i] : ends[j - 1]] for i, j in zip([0, *gone_to.tolist()], [*gone_from.tolist(), len(starts)], strict=True) if j > i]
+                kept = b" ".join(kept)
+                out.append((doc.as_py(), row.as_py(), int((gone_to - gone_from).sum()), digest(kept), kept.decode() if keep_text else None))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*out, strict=True)) or [[]] * 5, kinds, strict=True)], names)
 
-    cleaned = held.select("doc", "row", "text").dropDuplicates(["doc", "row"]).join(ranges, ["doc", "row"]).mapInArrow(remove, "doc long, row long, n_removed long, sha_kept string, kept_text string")
+    cleaned = held.select("doc", "row", "text").join(ranges, ["doc", "row"]).mapInArrow(remove, "doc long, row long, n_removed long, sha_kept string, kept_text string")
     out = base.select("doc_id", "doc", "row", "n_words", "sha").join(staged(cleaned), ["doc", "row"], "left")
     out = out.select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("sha_kept", "sha").alias("kept_sha256"), "kept_text", "row", "doc")
     if not keep_text:
