@@ -6,13 +6,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from siftmill.llm.common import components, grouped, staged, table
-from siftmill.llm.minhash import Forest
 
-#: Blocks that rotated vectors are split into, coordinates of a block that cells are laid over, and rows of a cell compared in one task.
-BLOCKS, CELL_COORDS, CHUNK = 8, 2, 512
-SEED, SLACK = 11, 1e-9
+#: Blocks that rotated vectors are split into, rows of a strip compared in one task with as many of another, and of these at once.
+BLOCKS, CHUNK, SLAB = 4, 4096, 512
+SEED, SLACK, ROUNDING = 11, 1e-9, 1e-5
 
 
 def rotation(d: int) -> np.ndarray:
@@ -41,95 +41,112 @@ def near_vectors(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_id"
 
     Equal vectors of a label become one class. If two unit vectors differ by squared distance D, they differ by D / m or
     less in one of m blocks of their rotated coordinates. So each block is range-joined under its share of the budget
-    ``2 - 2 * least``, on cells of that width over its leading coordinates; a pair counts in the first block that
-    finds it, after its cosine was computed from the whole vectors. Tasks give numbers of links and spanning forests,
-    not pairs. A cell above CHUNK rows is dealt out as pairs of chunks."""
+    ``2 - 2 * least``: it is sorted into strips of the share's width over its first coordinate, and by the triangle
+    inequality a strip meets itself and its two neighbours alone. Of a strip above CHUNK rows each chunk meets each
+    chunk. Within a task the whole block decides who is a candidate; a pair counts in the first block that finds it,
+    after its cosine was computed from the whole vectors. Tasks give numbers of links and spanning forests, not pairs.
+    Comparisons of block coordinates still grow with the square of a label's classes, about half of all pairs of a label
+    for each block where vectors lie in all directions; candidates, and whole vectors' cosines, are few."""
     budget = 2 - 2 * least
     ok = F.col("_v").isNotNull() & F.col("_l").isNotNull() & F.col("vec_id").isNotNull() & (F.size("_v") > 0)
     finite = F.forall("_v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists("_v", lambda x: x != 0)
-    base = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("_v"), F.col(label_col).alias("_l"))
+    real = "float" if dict(vectors.dtypes)[vector_col] == "array<float>" else "double"
+    base = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast(f"array<{real}>").alias("_v"), F.col(label_col).alias("_l"))
     base = staged(base.withColumn("_ok", F.coalesce(ok & finite, F.lit(False))))
-    valid = base.where("_ok").select("vec_id", "_l", F.transform("_v", lambda x: x + 0.0).alias("_v"))
+    plain = F.transform("_v", lambda x: x + F.lit(0.0).cast(real))  # no negative zeros
+    valid = base.where("_ok").select("vec_id", "_l", plain.alias("_v"))
     classes = staged(valid.groupBy("_l", "_v").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")))
 
-    def cells(batches):
+    def strips(batches):
         for b in batches:
-            v, labels = b["_v"].to_pylist(), b["_l"]
-            for d in {len(x) for x in v}:
-                at = np.array([i for i, x in enumerate(v) if len(x) == d])
-                x = np.array([v[i] for i in at])
-                y, edge = unit(x) @ rotation(d), bounds(d, blocks)
+            v, size = b["_v"].flatten().to_numpy(), b["_v"].value_lengths().to_numpy()
+            first = np.cumsum(size) - size
+            for d in np.unique(size).tolist():
+                at = np.flatnonzero(size == d)
+                x = v[first[at][:, None] + np.arange(d)]
+                y, edge = unit(x.astype(float)) @ rotation(d), bounds(d, blocks)
                 width = np.sqrt(budget / (len(edge) - 1)) * (1 + 1e-6) + SLACK
-                for k, (lo, hi) in enumerate(zip(edge, edge[1:], strict=False)):
-                    coords = np.floor(y[:, lo : min(hi, lo + CELL_COORDS)] / width).astype(np.int64)
-                    for j, step in enumerate(half(coords.shape[1])):  # its own cell first, then half of those around
-                        c = coords + step
-                        cell = pa.FixedSizeListArray.from_arrays(pa.array(c.ravel()), c.shape[1]).cast(pa.list_(pa.int64()))
-                        n = len(at)
-                        yield pa.RecordBatch.from_arrays([pa.array([d] * n, pa.int32()), labels.take(pa.array(at)), pa.array([k] * n, pa.int32()), cell, pa.array([j == 0] * n), b["rep"].take(pa.array(at)), b["copies"].take(pa.array(at)), b["_v"].take(pa.array(at))], ["d", "l", "block", "cell", "own", "rep", "copies", "v"])
+                raw, own = pa.array([r.tobytes() for r in x], pa.binary()), pa.array(at)
+                for k, lo in enumerate(edge[:-1].tolist()):
+                    strip = np.floor(y[:, lo] / width).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array([d] * len(at), pa.int32()), b["_l"].take(own), pa.array([k] * len(at), pa.int32()), pa.array(strip), b["rep"].take(own), b["copies"].take(own), raw], ["d", "l", "block", "strip", "rep", "copies", "v"])
 
     kind = dict(base.dtypes)["_l"]
-    dealt = classes.select("_l", "_v", "rep", "copies").mapInArrow(cells, f"d int, l {kind}, block int, cell array<long>, own boolean, rep long, copies long, v array<double>")
-    place = F.xxhash64("d", "l", "block", "cell")
-    counts = dealt.groupBy(place.alias("place")).agg(F.count_if("own").alias("own_n"), F.count(F.lit(1)).alias("all_n")).where("own_n > 0 AND all_n > 1")
-    counts = staged(counts.select("place", F.ceil(F.col("own_n") / CHUNK).alias("left_n"), F.ceil(F.col("all_n") / CHUNK).alias("right_n")))
-    rows = dealt.withColumn("place", place).join(counts, "place")
-    pick = lambda n, seed: F.pmod(F.xxhash64(F.lit(seed), "rep"), F.col(n))
-    side = lambda n, i, j, left: F.transform(F.sequence(F.lit(0).cast("long"), F.col(n) - 1), lambda k: F.struct((pick("left_n", 1) if i else k).alias("i"), (pick("right_n", 2) if j else k).alias("j"), F.lit(left).alias("left")))
-    copies = F.when(F.col("own"), F.concat(side("right_n", True, False, True), side("left_n", False, True, False))).otherwise(side("left_n", False, True, False))
-    rows = rows.select("place", "block", "own", "rep", "copies", "v", F.explode(copies).alias("c")).select("place", "c.i", "c.j", "c.left", "block", "own", "rep", "copies", "v")
+    dealt = classes.select("_l", "_v", "rep", "copies").mapInArrow(strips, f"d int, l {kind}, block int, strip long, rep long, copies long, v binary")
+    dealt = staged(dealt.withColumn("place", F.xxhash64("d", "l", "block")))
+    # chunks are numbered along a place's strips, so that those which a row meets are a range of numbers
+    line = Window.partitionBy("place").orderBy("strip")
+    counts = dealt.groupBy("place", "strip").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("parts"))
+    counts = counts.withColumn("upto", F.sum("parts").over(line))
+    beside = lambda f, step, c: F.when(f("strip").over(line) == F.col("strip") + step, f(c).over(line))
+    counts = staged(counts.withColumns({"base": F.col("upto") - F.col("parts"), "low": F.coalesce(beside(F.lag, -1, "upto") - beside(F.lag, -1, "parts"), F.col("upto") - F.col("parts")), "high": F.coalesce(beside(F.lead, 1, "upto"), "upto") - 1}))
+    rows = dealt.join(counts, ["place", "strip"]).withColumn("own", F.col("base") + F.pmod(F.xxhash64("rep"), F.col("parts")))
+    rows = rows.select("place", "block", "d", "rep", "copies", "v", "own", F.explode(F.sequence("low", "high")).alias("c"))
+    rows = rows.select("place", F.least("own", "c").alias("i"), F.greatest("own", "c").alias("j"), (F.col("own") <= F.col("c")).alias("left"), "block", "d", "rep", "copies", "v")
 
     def compare(batches):
-        names = ["rep", "links", "parent"]
+        kind = np.float32 if real == "float" else np.float64
         for g in grouped(batches, "place", "i", "j"):
             left = np.asarray(g["left"].combine_chunks().to_numpy(zero_copy_only=False), bool)
-            if not left.any() or left.all():
+            within = g["i"][0].as_py() == g["j"][0].as_py()
+            if g.num_rows < 2 or not within and (left.all() or not left.any()):
                 continue
-            x = np.array(g["v"].to_pylist())
-            u, k = unit(x), g["block"][0].as_py()
-            edge, y = bounds(x.shape[1], blocks), unit(x) @ rotation(x.shape[1])
+            d, k = g["d"][0].as_py(), g["block"][0].as_py()
+            x = np.frombuffer(b"".join(g["v"].to_pylist()), kind).reshape(-1, d).astype(float)
+            u, edge = unit(x), bounds(d, blocks)
+            y = u @ rotation(d)
             share = budget / (len(edge) - 1) + SLACK
-            rep, copies, own = (g[c].to_numpy() for c in ("rep", "copies", "own"))
-            a, b = np.flatnonzero(left), np.flatnonzero(~left)
-            lo, hi = edge[k], edge[k + 1]
-            za, zb = y[a, lo:hi], y[b, lo:hi]
-            apart = (za**2).sum(1)[:, None] + (zb**2).sum(1) - 2 * za @ zb.T
-            near = (apart <= share) & (~own[b][None] | (rep[a][:, None] < rep[b]))
-            i, j = np.nonzero(near)
-            i, j = a[i], b[j]
-            if not len(i):
-                continue
-            by_block = np.add.reduceat((y[i] - y[j]) ** 2, edge[:-1], axis=1)
-            by_block[:, k] = 0  # found here
-            fresh = (by_block[:, :k] > share).all(1)
-            i, j = i[fresh], j[fresh]
-            linked = np.einsum("ij,ij->i", u[i], u[j]) >= least
-            i, j = i[linked], j[linked]
-            if not len(i):
-                continue
-            ids, at = np.unique(np.concatenate([rep[i], rep[j]]), return_inverse=True)
-            links = np.bincount(at, np.concatenate([copies[j], copies[i]])).astype(np.int64)
-            forest = Forest(len(ids))
-            for p, q in zip(at[: len(i)].tolist(), at[len(i) :].tolist(), strict=True):
-                forest.join(p, q)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(links), pa.array(ids[[forest.root(p) for p in range(len(ids))]], pa.int64())], names)
-
-    found = rows.repartition("place", "i", "j").sortWithinPartitions("place", "i", "j", "rep")
+            rep, copies = g["rep"].to_numpy(), g["copies"].to_numpy()
+            a, b = (np.arange(len(x)),) * 2 if within else (np.flatnonzero(left), np.flatnonzero(~left))
+            z = y[:, edge[k] : edge[k + 1]].astype(np.float32)
+            norm = (z**2).sum(1)
+            links, component = np.zeros(len(x), np.int64), np.arange(len(x))
+            for at in range(0, len(a), SLAB):
+                some = a[at : at + SLAB]
+                apart = norm[some][:, None] + norm[b] - 2 * z[some] @ z[b].T
+                near = apart <= share + ROUNDING
+                if within:
+                    near &= some[:, None] < b
+                i, j = np.nonzero(near)
+                i, j = some[i], b[j]
+                for part in range(0, len(i), 1 << 18):
+                    p, q = i[part : part + (1 << 18)], j[part : part + (1 << 18)]
+                    by_block = np.add.reduceat((y[p] - y[q]) ** 2, edge[:-1], axis=1) <= share
+                    fresh = by_block[:, k] & ~by_block[:, :k].any(1)
+                    p, q = p[fresh], q[fresh]
+                    linked = np.einsum("ij,ij->i", u[p], u[q]) >= least
+                    p, q = p[linked], q[linked]
+                    np.add.at(links, p, copies[q])
+                    np.add.at(links, q, copies[p])
+                    component = joined_places(component, p, q)
+            met = np.flatnonzero(links)
+            if len(met):
+                yield pa.RecordBatch.from_arrays([pa.array(rep[met]), pa.array(links[met]), pa.array(rep[component[met]])], ["rep", "links", "parent"])
+
+    found = rows.repartition("place", "i", "j").sortWithinPartitions("place", "i", "j")
     found = staged(found.mapInArrow(compare, "rep long, links long, parent long"))
     joined = components(found.where("rep != parent").select(F.col("rep").alias("a"), F.col("parent").alias("b")))
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     named = classes.join(links, "rep", "left").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
     named = staged(named.select("_l", "_v", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("component", "rep").alias("c")))
-    key = base.select("vec_id", F.when(F.col("_ok"), F.col("_l")).alias("_l"), F.when(F.col("_ok"), F.transform("_v", lambda x: x + 0.0)).alias("_v"))
+    key = base.select("vec_id", F.when(F.col("_ok"), F.col("_l")).alias("_l"), F.when(F.col("_ok"), plain).alias("_v"))
     out = key.join(named, ["_l", "_v"], "left")
     component = F.coalesce("c", "vec_id")
     return out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
 
 
-def half(dims: int) -> list[np.ndarray]:
-    """The zero step, then one of each two opposite steps to the cells around."""
-    steps = np.stack(np.meshgrid(*[[-1, 0, 1]] * dims, indexing="ij"), -1).reshape(-1, dims)
-    return list(steps[len(steps) // 2 :])
+def joined_places(component: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """``component`` (one place for each place, of its own component) with the components of ``i`` and ``j`` joined."""
+    while True:
+        low = np.minimum(component[i], component[j])
+        after = component.copy()
+        np.minimum.at(after, component[i], low)
+        np.minimum.at(after, component[j], low)
+        after = after[after]
+        after = np.minimum(after, after[component])
+        if (after == component).all():
+            return component
+        component = after
 
 
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
