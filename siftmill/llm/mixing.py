@@ -8,7 +8,7 @@ import heapq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftmill.llm.common import WORD, numbered, staged, table
+from siftmill.llm.common import WORD, fresh, numbered, staged, table
 
 WEIGHTS, SHARE, LIMIT = (5, 2, 1), 1.5, 2
 BLOCK_WORDS, SHARDS, SEED = 16, 8, 20240501
@@ -70,64 +70,98 @@ def shard_quotas(votes: list[float], seats: int, shards: int) -> list[list[int]]
     return [[b - a for a, b in zip(before, after, strict=True)] for before, after in zip([[0] * len(votes), *steps], steps, strict=False)]
 
 
-def plan(spark: SparkSession, totals: list[tuple[str | None, int]], weights, share: float, limit: float, block: int, shards: int, seed: int) -> DataFrame:
-    """One row per source: ``_key, source_size, target, quota`` (blocks by shard), ``passes, lo, words``: each document
-    is taken ``passes`` times whole, and so are ``words`` words from place ``lo`` of the source's seeded order, round
-    its end."""
+def shard_ranges(n: int, block: int, shards: int) -> list[tuple[int, int]]:
+    """Words of a source, in its seeded order, that lie in each shard: whole blocks, dealt evenly; the last has the rest too."""
+    blocks = max(1, n // block)
+    at = [blocks * j // shards * block for j in range(shards)] + [n]
+    return list(zip(at, at[1:], strict=False))
+
+
+def chosen(ranges: list[tuple[int, int]], quotas: list[int], block: int, limit: int, seed: str) -> list[tuple[int, int, int]]:
+    """Segments ``(from, to, times)`` of a source's words: each shard's words whole as often as its quota of blocks holds
+    them, and a run of blocks once more, from a seeded start and round the shard's end. What a shard can't hold, at
+    ``limit`` times its words, goes on to the others."""
+    room, give, carry = [limit * (b - a) for a, b in ranges], [], 0
+    for q, most in zip(quotas, room, strict=True):
+        give.append(min(q * block + carry, most))
+        carry += q * block - give[-1]
+    for j in range(len(give)):
+        more = min(carry, room[j] - give[j])
+        give[j], carry = give[j] + more, carry - more
+    out = []
+    for j, ((a, b), words) in enumerate(zip(ranges, give, strict=True)):
+        if b == a:
+            continue
+        passes, extra = divmod(words, b - a)
+        blocks = max(1, (b - a) // block)
+        lo = a + int.from_bytes(hashlib.sha256(f"{seed}:{j}".encode()).digest()[:8], "big") % blocks * block
+        over = max(0, lo + extra - b)
+        parts = [(a, a + over, passes + 1), (a + over, lo, passes), (lo, lo + extra - over, passes + 1), (lo + extra - over, b, passes)]
+        out += [p for p in parts if p[1] > p[0]]
+    return out
+
+
+def plan(spark: SparkSession, totals: list[tuple[str | None, int]], weights, share: float, limit: int, block: int, shards: int, seed: int) -> DataFrame:
+    """One row per source: ``_key, source_size, target, quota`` (blocks by shard), and ``segments`` of its words in their
+    seeded order, each with the number of times that it is taken."""
     totals = sorted(totals, key=lambda r: (r[0] is None, r[0] or ""))
     sizes = [n for _, n in totals]
     goal = targets(sizes, [weights[i % len(weights)] for i in range(len(totals))], share, limit)
     quotas = shard_quotas(goal, round(sum(goal) / block), shards)
     out = []
     for i, (source, n) in enumerate(totals):
-        want = min(sum(q[i] for q in quotas) * block, int(limit * n))
-        passes, words = divmod(want, n) if n else (0, 0)
-        blocks = max(1, n // block)
-        first = int.from_bytes(hashlib.sha256(f"{seed}:{source}".encode()).digest()[:8], "big") % blocks
-        out.append(("n" if source is None else f"s{source}", n, goal[i], [q[i] for q in quotas], passes, first * block, words))
-    return spark.createDataFrame(out, "_key string, source_size long, target double, quota array<long>, passes long, lo long, words long")
+        own = [q[i] for q in quotas]
+        out.append(("n" if source is None else f"s{source}", n, goal[i], own, chosen(shard_ranges(n, block, shards), own, block, limit, f"{seed}:{source}")))
+    return spark.createDataFrame(out, "_key string, source_size long, target double, quota array<long>, segments array<struct<lo: long, hi: long, times: long>>")
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *, weights=WEIGHTS, share: float = SHARE, limit: float = LIMIT, block: int = BLOCK_WORDS, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *, weights=WEIGHTS, share: float = SHARE, limit: int = LIMIT, block: int = BLOCK_WORDS, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """One row per document: ``doc_id, size, source_size, target, taken`` and, for callers that cut texts, ``passes``
-    (whole copies) and ``cuts`` (ranges of words, from and to, taken once more); ``row`` is a hash of the text.
+    (whole copies) and ``cuts`` (ranges of words, from and to, taken once more in a further ``copy``); ``row`` is a hash
+    of the text.
 
     A null text has size 0 and is never taken; null sources are one source, the last. Rows repeated with one id are
     separate documents. An empty table gives no rows; if all texts are empty, all targets are 0. ``limit`` is whole.
-    The seeded order of a source's documents depends on their ids alone, so reruns agree. The list of sources (one
-    row each) is planned on the driver; documents never go there."""
+    Documents of any length are cut by word ranges. Other columns are not read. The words of a source lie in a seeded
+    order of its documents, which depends on ids and texts alone, so reruns agree; equal-token blocks of them are dealt to
+    shards, and each shard gives the number of blocks of its quota. The list of sources (one row each) is planned on the
+    driver; documents never go there."""
     key = F.when(F.col(source_col).isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col(source_col)))
     size = F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long")
-    sized, seen = staged(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), key.alias("_key"), size.alias("size"), F.xxhash64(text_col).alias("row"), F.xxhash64(F.lit(seed), F.col(id_col)).alias("_h")), F.count(F.lit(1)).alias("n"))
+    row = F.xxhash64(text_col)
+    sized, seen = staged(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), key.alias("_key"), size.alias("size"), row.alias("row"), F.xxhash64(F.lit(seed), F.col(id_col), row).alias("_h")), F.count(F.lit(1)).alias("n"))
     totals = [(r["source"], r["n"]) for r in sized.groupBy("source").agg(F.sum("size").alias("n")).collect()]
     sources = plan(docs.sparkSession, totals, weights, share, limit, block, shards, seed)
     sources = F.broadcast(sources) if len(totals) <= BROADCAST_SOURCES else sources
     placed = numbered(sized, ["_key"], ["_h", "doc_id", "row"], "size", seen["n"]).join(sources, "_key")
     o, end = F.col("before"), F.col("before") + F.col("size")
-    upto = F.col("lo") + F.col("words")
-    cut = lambda a, b: F.struct((F.greatest(a, o) - o).alias("from"), (F.least(b, end) - o).alias("to"))
-    cuts = F.filter(F.array(cut(F.lit(0), upto - F.col("source_size")), cut(F.col("lo"), F.least(upto, F.col("source_size")))), lambda x: x["to"] > x["from"])
-    placed = placed.withColumn("cuts", cuts)
-    taken = F.col("passes") * F.col("size") + F.aggregate("cuts", F.lit(0).cast("long"), lambda a, x: a + x["to"] - x["from"])
-    return placed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "passes", "cuts", "row")
+    met = F.transform(F.filter("segments", lambda s: (s["lo"] < end) & (s["hi"] > o)), lambda s: F.struct((F.greatest(s["lo"], o) - o).alias("from"), (F.least(s["hi"], end) - o).alias("to"), s["times"].alias("times")))
+    placed = placed.withColumn("_met", met).withColumn("passes", F.coalesce(F.array_min(F.transform("_met", lambda s: s["times"])), F.lit(0)))
+    again = lambda e: F.transform(F.filter("_met", lambda s: s["times"] - F.col("passes") > e), lambda s: F.struct(s["from"].alias("from"), s["to"].alias("to"), F.lit(e).alias("copy")))
+    taken = F.aggregate("_met", F.lit(0).cast("long"), lambda a, s: a + (s["to"] - s["from"]) * s["times"])
+    return placed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "passes", F.concat(*map(again, range(limit))).alias("cuts"), "row")
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents of the mix, with the columns of ``docs``: one row for each whole copy taken, and one with the words of
-    the ranges taken, joined by one space. ``n_chars``, if there is such a column, becomes the new text's length.
-    Documents of which nothing is taken go."""
-    parts = mix(docs, id_col, text_col, **options).where("taken > 0").select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), F.struct("passes", "cuts").alias("p"))
-    parts, seen = staged(parts.groupBy("_id", "_row").agg(F.collect_list("p").alias("_parts")), F.max(F.size("_parts")).alias("most"))
-    rows = docs.withColumn("_row", F.xxhash64(text_col))
-    if (seen["most"] or 0) > 1:  # repeated rows: one of each stands for all
-        rows = rows.dropDuplicates([id_col, "_row"])
-    rows = rows.join(parts, F.col(id_col).eqNullSafe(F.col("_id")) & (rows["_row"] == parts["_row"]))
+    """The documents of the mix, with the columns of ``docs``, whatever their names: one row for each whole copy taken, and
+    one with the words of the ranges taken once more, joined by one space. ``n_chars``, if there is such a column, becomes
+    the new text's length. Documents of which nothing is taken go, null texts among them; of rows repeated with one id and
+    equal texts each counts as a document, and any of them stands for the others' further columns."""
+    i, h, p, c, w = fresh(docs, "id", "text_hash", "part", "copy", "words")
+    parts = staged(mix(docs, id_col, text_col, **options).where("taken > 0").select(F.col("doc_id").alias(i), F.col("row").alias(h), F.struct("passes", "cuts").alias(p)))
+    most = parts.groupBy(i, h).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("most")).first()["most"]
+    rows = docs.withColumn(h, F.xxhash64(text_col))
+    if (most or 0) > 1:  # repeated rows: one of each meets the parts of all
+        rows = rows.dropDuplicates([id_col, h])
+    rows = rows.withColumnRenamed(h, f"{h}_2").join(parts, F.col(id_col).eqNullSafe(F.col(i)) & (F.col(f"{h}_2") == F.col(h)))
+    cuts = f"{p}.cuts"
     words = F.regexp_extract_all(text_col, F.lit(WORD), F.lit(0))
-    some = F.array_join(F.flatten(F.transform("_p.cuts", lambda c: F.slice("_words", (c["from"] + 1).cast("int"), (c["to"] - c["from"]).cast("int")))), " ")
-    copies = F.concat(F.array_repeat(F.col(text_col), F.col("_p.passes").cast("int")), F.when(F.size("_p.cuts") > 0, F.array(some)).otherwise(F.array().cast("array<string>")))
-    rows = rows.withColumn("_p", F.explode("_parts")).withColumn("_words", F.when(F.size("_p.cuts") > 0, words)).withColumn("_copy", F.explode(copies))
-    new = {text_col: F.col("_copy"), "n_chars": F.length("_copy").cast("long")}
-    return rows.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+    some = lambda e: F.array_join(F.flatten(F.transform(F.filter(cuts, lambda x: x["copy"] == e), lambda x: F.slice(w, (x["from"] + 1).cast("int"), (x["to"] - x["from"]).cast("int")))), " ")
+    extra = F.transform(F.array_distinct(F.transform(cuts, lambda x: x["copy"])), some)
+    copies = F.concat(F.array_repeat(F.col(text_col), F.col(f"{p}.passes").cast("int")), extra)
+    rows = rows.withColumn(w, F.when(F.size(cuts) > 0, words)).withColumn(c, F.explode(copies))
+    new = {text_col: F.col(c), "n_chars": F.length(c).cast("long")}
+    return rows.select(*[new[x].alias(x) if x in new else F.col(x) for x in docs.columns])
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
