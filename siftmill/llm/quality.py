@@ -15,7 +15,10 @@ from siftmill.llm.common import staged, table
 #: Bounds of what is fitted: labelled rows used, words with context vectors, buckets of other words, dimensions.
 SAMPLE, VOCABULARY, OTHERS, DIMS = 12_000, 4096, 1024, 128
 HIDDEN, EPOCHS, SEED, THRESHOLD = 32, 40, 17, 0.3
-REMEMBERED = 400_000
+#: A worker's memory of words is emptied at so many; words above LONG bytes are not remembered, so it is bounded in bytes too.
+REMEMBERED, LONG = 400_000, 64
+#: Words whose contexts are summed up together.
+TOGETHER = 50_000
 _OUTER, _RUNS = re.compile(r"^\W+|\W+$"), re.compile(r"(.)\1+", re.S)
 _SHAPE = [(re.compile(r"[a-zß-öø-ÿ]"), "x"), (re.compile(r"[A-ZÀ-ÖØ-Þ]"), "X"), (re.compile(r"\d"), "9")]
 
@@ -50,8 +53,9 @@ class Terms(dict):
         if len(self) > REMEMBERED:
             self.clear()
         a, b = (self.place[t] if t in self.place else VOCABULARY + self.digest(t) % OTHERS for t in features(word))
-        out = self[word] = a << 16 | b
-        return out
+        if len(word) <= LONG:
+            self[word] = a << 16 | b
+        return a << 16 | b
 
     def of(self, text: str | None) -> np.ndarray:
         """Two columns: words' terms and shapes, in order."""
@@ -113,6 +117,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     lab = labels.select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("double").alias("_y")).where("_y IN (0, 1)").where(fold(F.col("_id")) != 0)
     lab = lab.groupBy("_id").agg(F.max("_y").alias("_y")).orderBy(F.xxhash64("_id"), "_id").limit(sample)
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(lab), "_id")
+    texts = texts.groupBy("_id", "_y").agg(F.max_by("_text", F.xxhash64("_text")).alias("_text"))  # one row an id, however often it is repeated
     texts = staged(texts.select("_id", "_y", "_text")).coalesce(8)
 
     def tally(batches):
@@ -138,13 +143,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         terms, total = Terms(vocabulary), np.zeros((VOCABULARY + OTHERS, DIMS), np.float32)
         for b in batches:
             for t in b["_text"].to_pylist():
-                at = terms.of(t)
-                near = np.zeros((len(at) + 4, DIMS), np.float32)
-                own = index[at[:, 0]] + index[at[:, 1]]
-                for k in (0, 1, 3, 4):  # two words on either side
-                    near[k : k + len(at)] += own
-                for column in at.T:
-                    np.add.at(total, column, near[2 : 2 + len(at)])
+                whole = terms.of(t)
+                for first in range(0, len(whole), TOGETHER):  # a long text in parts, each with two words on either side
+                    before = min(first, 2)
+                    at = whole[first - before : first + TOGETHER + 2]
+                    near = np.zeros((len(at) + 4, DIMS), np.float32)
+                    own = index[at[:, 0]] + index[at[:, 1]]
+                    for k in (0, 1, 3, 4):  # two words on either side
+                        near[k : k + len(at)] += own
+                    mine = slice(before, before + min(TOGETHER, len(whole) - first))
+                    for column in at[mine].T:
+                        np.add.at(total, column, near[2:][mine])
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], ["m"])
 
     found = texts.select("_text").mapInArrow(contexts, "m binary").collect()
@@ -182,7 +191,8 @@ def scorer(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs``, all columns, whose score is at least ``threshold``; nothing is shuffled."""
+    """The rows of ``docs``, all columns, whatever their names, whose score is at least ``threshold``; nothing is shuffled. Null and
+    empty texts have the score of a document without words, rows repeated are judged each, texts of any length whole."""
     scores = scorer(docs, labels, id_col, text_col, label_col)
     return docs.mapInArrow(lambda batches: (b.filter(pa.array(scores(b[text_col]) >= threshold)) for b in batches), docs.schema)
 
