@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftmill.llm.common import LOWER, UPPER, staged, table
+from siftmill.llm.common import LOWER, UPPER, fresh, staged, table
 
 #: A chunk ends at the first sentence end or line end after 512 characters, and at 4,096 at the latest.
 CHUNK = r"(?s).{512,4095}?[.!?;\n。]|.{1,4096}"
@@ -59,13 +59,15 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that stay; of rows repeated with one id and equal texts, one."""
-    kept = exact_duplicates(docs, id_col, text_col).where("kept").groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_kept_sha")).agg(F.count(F.lit(1)).alias("_n"))
-    kept, seen = staged(kept, F.max("_n").alias("most"))
-    rows = docs.withColumn("_sha", F.sha2(F.translate(F.coalesce(F.col(text_col), F.lit("")), UPPER, LOWER), 256))
-    rows = rows.join(kept, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_kept_sha")), "left_semi")
+    """The rows of ``docs``, all columns, whatever their names, that stay; of rows repeated with one id and equal texts, one.
+    Null texts count as empty, texts of any length are compared whole, a null id stays only where no other id has the text."""
+    i, sha, kept_sha, n = fresh(docs, "id", "sha", "kept_sha", "n")
+    kept = exact_duplicates(docs, id_col, text_col).where("kept").groupBy(F.col("doc_id").alias(i), F.col("text_sha256").alias(kept_sha)).agg(F.count(F.lit(1)).alias(n))
+    kept, seen = staged(kept, F.max(n).alias("most"))
+    rows = docs.withColumn(sha, F.sha2(F.translate(F.coalesce(F.col(text_col), F.lit("")), UPPER, LOWER), 256))
+    rows = rows.join(kept, F.col(id_col).eqNullSafe(F.col(i)) & (F.col(sha) == F.col(kept_sha)), "left_semi")
     if (seen["most"] or 0) > 1:
-        rows = rows.dropDuplicates([id_col, "_sha"])
+        rows = rows.dropDuplicates([id_col, sha])
     return rows.select(*docs.columns)
 
 

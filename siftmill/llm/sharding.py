@@ -37,7 +37,7 @@ def shard(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: st
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.select(
         F.col(id_col).alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.regexp_count(text, F.lit(WORD)).cast("long").alias("tokens"), F.xxhash64(text).alias("gid"), F.xxhash64(F.lit(1), F.col(id_col)).alias("_h"),
+        F.regexp_count(text, F.lit(WORD)).cast("long").alias("tokens"), F.xxhash64(text).alias("gid"), F.xxhash64(F.lit(1), F.col(id_col), text).alias("_h"),
     )
     base, whole = staged(base, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"))
     sums = [F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows")]
