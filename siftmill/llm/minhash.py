@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftmill.llm.common import components, grouped, staged, table
+from siftmill.llm.common import Forest, components, fresh, grouped, staged, table
+from siftmill.llm.words import joined_words, places, runs_of, word_hashes
 
 #: Signature values (a byte each), trees, and the least common prefix of neighbours. At similarity 0.85 a pair shares
 #: four values in at least one of 16 trees but for about 8 in a million pairs.
@@ -19,46 +18,20 @@ VALUES, TREES, LEAST = 64, 16, 4
 AGREE = 40
 #: Documents compared with each other in one task at most. Larger regions are split where neighbours' prefixes are shortest.
 BLOCK = 128
-REMEMBERED = 400_000
 _RNG = np.random.default_rng(20240229)
 _A = (_RNG.integers(0, 2**32, VALUES, dtype=np.uint64) | 1).astype(np.uint32)[:, None]
 _B = _RNG.integers(0, 2**32, VALUES, dtype=np.uint64).astype(np.uint32)[:, None]
-_P, _Q, _R = (np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9))
-
-
-class Hashes(dict):
-    """Word (bytes) -> 64-bit hash, remembered up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > REMEMBERED:
-            self.clear()
-        out = self[word] = xxhash.xxh3_64_intdigest(word)
-        return out
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
-@lru_cache(maxsize=1)
-def hashes() -> Hashes:
-    return Hashes()
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(29))) * _R
-    return x ^ (x >> np.uint64(32))
 
 
 def shingles(text: str | None, width: int = 3) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's word shingles; of the whole sequence if it is shorter; empty without words."""
-    h = hashes().of((text or "").encode().lower().split())  # bytes: lower() changes A-Z alone, split() cuts at \\x20 and \\x09-\\x0D
+    words = joined_words(text).lower()  # bytes: lower() changes A-Z alone
+    starts, ends = places(words)
+    h = word_hashes(words, starts, ends)
+    for i in np.flatnonzero(ends - starts > 256).tolist():  # long words have hashes of their own
+        h[i] = xxhash.xxh3_64_intdigest(words[starts[i] : ends[i]])
     width = min(width, len(h))
-    if not width:
-        return h
-    x = np.full(len(h) - width + 1, width, np.uint64)
-    for k in range(width):
-        x = mixed(x * _P + h[k : len(h) - width + 1 + k] * _Q)
-    return np.unique(x)
+    return np.unique(runs_of(h, width)) if width else h
 
 
 def signature(s: np.ndarray) -> bytes:
@@ -95,23 +68,6 @@ def regions(paths: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-class Forest:
-    """Union-find over 0..n-1."""
-
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def root(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = i = self.up[self.up[i]]
-        return i
-
-    def join(self, i: int, j: int) -> bool:
-        i, j = self.root(i), self.root(j)
-        self.up[max(i, j)] = min(i, j)
-        return i != j
-
-
 def linked(near: np.ndarray) -> np.ndarray:
     """The smallest row that each row reaches, by a symmetric matrix of neighbours that holds the diagonal."""
     low = np.arange(len(near))
@@ -130,7 +86,7 @@ def candidates(batches):
     def emit(turn: int, rows: pa.Table):
         paths = np.frombuffer(b"".join(rows["path"].to_pylist()), np.uint8).reshape(-1, VALUES)
         keys, tree = rows["key"].to_pylist(), rows["tree"][0].as_py()
-        forest, met = Forest(len(keys)), []
+        forest, met, least = Forest(len(keys)), [], list(keys)
         for a, b in regions(paths):
             near = (paths[a:b, None] == paths[None, a:b]).sum(2) >= AGREE
             if near.sum() == b - a:
@@ -140,7 +96,10 @@ def candidates(batches):
             place = b"".join(x.to_bytes(8, "little", signed=True) for x in (keys[a], b - a, turn))
             name = xxhash.xxh3_64_intdigest(bytes([tree]) + paths[a].tobytes() + place) >> 1
             met += [(name, a + i) for i in np.flatnonzero(near.sum(1) > 1).tolist()]
-        out = [(name, keys[i], keys[forest.root(i)]) for name, i in met]
+        for _, i in met:  # the parent is the smallest key: it is the same in most trees, and edges that repeat are one
+            r = forest.root(i)
+            least[r] = min(least[r], keys[i])
+        out = [(name, keys[i], least[forest.root(i)]) for name, i in met]
         cols = list(zip(*out, strict=True)) or [[], [], []]
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["region", "key", "parent"])
 
@@ -287,9 +246,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs``, all columns, whose id names their component; rows that share such an id stay together."""
-    kept = staged(near_duplicates(docs, id_col, text_col, **options).where("kept").select(F.col("doc_id").alias("_id")).distinct())
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
+    """The rows of ``docs``, all columns, whatever their names, whose id names their component; rows that share such an id
+    stay together. Null texts and texts without words all stay; texts of any length are compared whole."""
+    (i,) = fresh(docs, "id")
+    kept = staged(near_duplicates(docs, id_col, text_col, **options).where("kept").select(F.col("doc_id").alias(i)).distinct())
+    return docs.join(kept, F.col(id_col).eqNullSafe(F.col(i)), "left_semi")
 
 
 def set_key(s: np.ndarray) -> int | None:
