@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from siftmill.functions import dates
 
@@ -43,3 +44,63 @@ def same_page(title_a: Column, words_a: Column, title_b: Column, words_b: Column
     neighbour alike is no proof that its page exists."""
     union = F.size(F.array_union(words_a, words_b))
     return (title_a == title_b) & F.when(union == 0, True).otherwise(F.size(F.array_intersect(words_a, words_b)) >= union * least)
+
+
+def unjudged(registered: DataFrame, key: str, window: str, first: Column, until: Column, *done: DataFrame) -> DataFrame:
+    """Registered candidates of a window that none of ``done`` (judged, cited, logged) has."""
+    out = registered.where((F.col(window) >= first) & (F.col(window) < until))
+    for df in done:
+        out = out.join(df.select(key).distinct(), key, "left_anti")
+    return out
+
+
+def remapped(judgments: DataFrame, logged: DataFrame, key: str, draft: str) -> DataFrame:
+    """Judgments that no earlier pass has logged, their drafts numbered anew from 0 in the old order; ``draft`` stays null without one."""
+    new = missing(judgments, logged, key)
+    order = new.where(F.col(draft).isNotNull()).select(draft).distinct().withColumn("_new", F.row_number().over(Window.orderBy(draft)) - 1)  # drafts of one pass are few
+    return new.join(order, draft, "left").withColumn(draft, F.col("_new")).drop("_new")
+
+
+def urls_to_verify(items: DataFrame, sources: str, candidates: DataFrame, address: str, wanted: Column) -> DataFrame:
+    """``url``: distinct addresses of the items' sources, and of the candidates for which ``wanted`` holds."""
+    return items.select(F.explode(sources).alias("url")).unionByName(candidates.where(wanted).select(F.col(address).alias("url"))).where("url IS NOT NULL").distinct()
+
+
+def backfilled_in_window(items: DataFrame, flag: str, at: str, start: Column, until: Column) -> DataFrame:
+    """Backfilled items of a window, half open, by time and id."""
+    return items.where(F.coalesce(F.col(flag), F.lit(False)) & (F.col(at) >= start) & (F.col(at) < until))
+
+
+def slot_in_window(at: Column, start: Column, until: Column, last_slot: Column) -> Column:
+    """The slot at or after a publication; where that lies beyond a window that holds the publication, the window's last slot."""
+    slot = dates.slot_at_or_after(at)
+    return F.when((dates.slot_instant(slot) >= until) & (at >= start) & (at < until), last_slot).otherwise(slot)
+
+
+def window_problem(until: Column, now: Column) -> Column:
+    """``open`` while a window's end lies ahead: a pass over it would miss what is still to come."""
+    return F.when(until > now, "open")
+
+
+def repeats_earlier(df: DataFrame, key: str, order: str, words: str, n: int = 12) -> DataFrame:
+    """Rows that share a run of ``n`` words with an earlier row, with the first such row: each run of words keeps its earliest
+    row, so a run that very many rows share is combined before it is shuffled."""
+    from siftmill.functions.text import ngrams
+
+    grams = df.select(key, order, F.explode(F.transform(ngrams(F.col(words), n), lambda g: F.xxhash64(g))).alias("g"))
+    first = grams.groupBy("g").agg(F.min(F.struct(order, key)).alias("first"))
+    met = grams.join(first, "g").where(F.struct(F.col(order), F.col(key)) > F.col("first"))
+    return met.groupBy(key).agg(F.min("first").alias("f")).select(key, F.col(f"f.{key}").alias("earlier"))
+
+
+def expected_days(checks: DataFrame, candidates: DataFrame, address: str, day: str) -> DataFrame:
+    """Checks with ``expected``, the date that the candidate of the same address has."""
+    from siftmill.functions import url
+
+    own = candidates.select(url.normalise(F.col(address)).alias("_n"), F.col(day).alias("expected")).groupBy("_n").agg(F.min("expected").alias("expected"))
+    return checks.withColumn("_n", url.normalise(F.col(address))).join(own, "_n", "left").drop("_n")
+
+
+def audit_rows(judged: DataFrame, left: DataFrame, key: str) -> DataFrame:
+    """One log row for each judged candidate, then one for each that is left, its verdict ``unjudged``."""
+    return judged.select(key, "verdict", F.lit(0).alias("part")).unionByName(left.select(key, F.lit("unjudged").alias("verdict"), F.lit(1).alias("part")))

@@ -65,3 +65,79 @@ def shares(df: DataFrame, by: list[str], value: str, above: float, least: int =
 def latest_at(df: DataFrame, order: str, *times: str) -> DataFrame:
     """One row ``as_of``: the first known time of the latest run."""
     return df.agg(F.max_by(F.coalesce(*times), F.col(order)).alias("as_of"))
+
+
+def in_range(at: Column, start: Column, end: Column) -> Column:
+    """``[start, end)``; a null end is open."""
+    return (start.isNull() | (at >= start)) & (end.isNull() | (at < end))
+
+
+def last_before(df: DataFrame, at: str, start: Column, *ties: str) -> DataFrame:
+    """The newest row before a range."""
+    return df.where(F.col(at) < start).agg(F.max(F.struct(at, *ties, *[c for c in df.columns if c not in (at, *ties)])).alias("r")).where("r IS NOT NULL").select("r.*")
+
+
+def board(df: DataFrame, key: str, values: list[str], item: str, first: Column, at: str, most: int = 100) -> DataFrame:
+    """``key, ord, n, items``: each value's rows, those first for which ``first`` holds, then the newest; the list shows
+    ``most`` of them, ``n`` counts all."""
+    n = zero_filled(df, key, values, F.count(F.lit(1)).alias("n"))
+    top = top_k(df.withColumn("_first", first.cast("int")), key, [F.desc("_first"), F.desc(at), F.col(item)], most)
+    lists = top.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", item))), lambda x: x[item]).alias("items"))
+    return n.join(lists, key, "left").withColumn("items", F.coalesce("items", F.array().cast(lists.schema["items"].dataType)))
+
+
+def effective_now(clock: Column, *latest: tuple[DataFrame, str]) -> DataFrame:
+    """One row ``now``: the latest of the clock and of the frames' times."""
+    out = latest[0][0].agg(F.max(latest[0][1]).alias("t0"))
+    for i, (df, c) in enumerate(latest[1:], 1):
+        out = out.crossJoin(df.agg(F.max(c).alias(f"t{i}")))  # one row each
+    return out.select(F.greatest(clock, *[F.col(f"t{i}") for i in range(len(latest))]).alias("now"))
+
+
+def run_status(status: Column) -> Column:
+    """A run's status; what is none counts as failed."""
+    return F.when(status.isin("published", "silent", "failed"), status).otherwise("failed")
+
+
+def empty_reason(applied: Column, failed: Column, hidden: Column) -> Column:
+    """Why a section shows nothing: the filters hide its rows, the test was applied and nothing passed, all runs failed, or none ran."""
+    return F.when(hidden > 0, "hidden").when(applied > 0, "nothing_passed").when(failed > 0, "runs_failed").otherwise("no_runs")
+
+
+def neighbours(runs: DataFrame, slot: str) -> DataFrame:
+    """Adds ``previous`` (the slot before), ``latest`` and ``superseded`` (a later run exists). Run records are few, one a slot."""
+    w = Window.orderBy(slot)
+    last = runs.agg(F.max(slot).alias("latest"))
+    return runs.withColumn("previous", F.lag(slot).over(w)).crossJoin(F.broadcast(last)).withColumn("superseded", F.col(slot) < F.col("latest"))
+
+
+def calibration_totals(runs: DataFrame, status: str, *counters: str) -> DataFrame:
+    """One row: runs by status, and the counters summed over those that didn't fail."""
+    ok = F.col(status) != "failed"
+    return runs.agg(*[F.count_if(F.col(status) == s).alias(s) for s in ("published", "silent", "failed")], *[F.coalesce(F.sum(F.when(ok, F.col(c))), F.lit(0)).alias(c) for c in counters])
+
+
+NEAR, ALT = r"NEAR ([A-Z0-9]+)(?:/([a-z0-9_.]+))?", r"\[alt ([A-Z0-9]+)/([a-z0-9_.]+)"
+
+
+def near_misses(log: DataFrame, reason: str) -> DataFrame:
+    """``kind, name, n``: elements that reasons were near to (``element``), with a knob or without (``fixed``), second choices
+    (``alt``), and rows near each knob, one for each that a row names (``knob``)."""
+    at = lambda p, i: F.nullif(F.regexp_extract(F.coalesce(reason, F.lit("")), p, i), F.lit(""))
+    name = lambda kind, c: F.when(c.isNotNull(), F.struct(F.lit(kind).alias("kind"), c.alias("name")))
+    element, knob, other, alt = at(NEAR, 1), at(NEAR, 2), at(ALT, 1), at(ALT, 2)
+    full = F.concat_ws("/", element, knob)
+    parts = F.array(name("element", F.when(element.isNotNull(), full)), name("fixed", F.when(knob.isNull(), element)), name("alt", F.when(other.isNotNull(), F.concat_ws("/", other, alt))), name("knob", knob), name("knob", alt))
+    return log.select(F.explode(F.array_distinct(F.array_compact(parts))).alias("p")).groupBy("p.kind", "p.name").agg(F.count(F.lit(1)).alias("n"))
+
+
+def calibration_warnings(totals: DataFrame, share: Column, most_share: float = 0.4, most_pass: float = 0.25) -> DataFrame:
+    """``warning, value`` for a mechanism's share of the items, and for the first stage's share of what was unseen, where too large."""
+    passed = ratio(F.col("stage1"), F.col("unseen"))
+    rows = F.array(F.when(share > most_share, F.struct(F.lit("mechanism_share").alias("warning"), share.alias("value"))), F.when(passed > most_pass, F.struct(F.lit("stage1_pass").alias("warning"), passed.alias("value"))))
+    return totals.select(F.explode(F.array_compact(rows)).alias("w")).select("w.*")
+
+
+def missing_logs(runs: DataFrame, log: DataFrame, key: str, survivors: str) -> DataFrame:
+    """Runs with survivors of the first stage that have no log rows."""
+    return runs.where(F.col(survivors) > 0).select(key).join(log.select(key).distinct(), key, "left_anti")
