@@ -29,11 +29,16 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+#: Paths of this application's staged tables.
+_STAGED: list[str] = []
+
+
 def staged(df: DataFrame, *metrics) -> DataFrame | tuple[DataFrame, dict]:
     """Write ``df`` as a table into the shared folder and read it back, which cuts the lineage: a lost executor costs
     a reread, not the whole history. With ``metrics`` (aggregate columns), also returns their values by name."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/staged-{uuid.uuid4().hex}"
+    _STAGED.append(path)
     seen = Observation() if metrics else None
     (df.observe(seen, *metrics) if metrics else df).write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
@@ -87,6 +92,15 @@ def contracted(batches: Iterable[pa.RecordBatch], most: int = 200_000) -> Iterat
         yield pa.RecordBatch.from_arrays([pa.array(left[:, 0]), pa.array(left[:, 1])], ["a", "b"])
 
 
+def clear_staged(spark: SparkSession) -> int:
+    """Deletes the tables that this application has staged so far, and gives their number. For when their readers are done."""
+    n = 0
+    while _STAGED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        n += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, component`` (the smallest node reachable) for every node of ``edges(a, b)``; self-loops and nulls are ignored.
 

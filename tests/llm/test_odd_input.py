@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from siftmill.llm import exact_dedup, minhash, mixing, packing, quality, sharding, substring, tokens, urls
-from siftmill.llm.common import components, contracted, fresh
+from siftmill.llm.common import clear_staged, components, contracted, fresh, staged
 
 
 @pytest.fixture(scope="module")
@@ -119,3 +119,10 @@ def test_url_trees_held_out(spark, sf_dir):
 
 def test_components_of_empty(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_staged_tables_are_cleared(spark):
+    t = staged(spark.range(3))
+    assert t.count() == 3 and clear_staged(spark) > 0 and clear_staged(spark) == 0
+    with pytest.raises(Exception):  # noqa: B017
+        spark.read.parquet(t.inputFiles()[0]).count()
