@@ -90,3 +90,34 @@ def feed_date(c: Column) -> Column:
     ts = wall - F.make_dt_interval(F.lit(0), F.lit(0), offset)
     status = F.when(s == "", "missing").when(ts.isNull(), "unparsed").when(~F.year(ts).between(1990, 2100), "implausible").otherwise("ok")
     return F.struct(F.when(status == "ok", ts).alias("ts"), status.alias("status"), (ts.isNotNull() & (hour == "")).alias("date_only"))
+
+
+def et_offset(ts: Column) -> Column:
+    """Minutes east of Greenwich of the zone at an instant."""
+    return ((F.unix_timestamp(eastern(ts)) - F.unix_timestamp(ts.cast("timestamp"))) / 60).cast("int")
+
+
+def et_iso(ts: Column) -> Column:
+    """``2026-10-02T14:00:00-04:00``."""
+    m = F.abs(et_offset(ts))
+    two = lambda n: F.lpad(n.cast("int").cast("string"), 2, "0")
+    sign = F.when(et_offset(ts) < 0, "-").otherwise("+")
+    return F.concat(F.date_format(eastern(ts), "yyyy-MM-dd'T'HH:mm:ss"), sign, two(F.floor(m / 60)), F.lit(":"), two(m % 60))
+
+
+def is_et_iso(c: Column) -> Column:
+    """Whether a text is an instant written with the zone's own offset at that instant."""
+    ok = c.rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d[+-]\d\d:\d\d$")
+    return F.coalesce(F.when(ok, et_iso(F.try_to_timestamp(c)) == c), F.lit(False))
+
+
+def is_iso_date(c: Column) -> Column:
+    """Whether a text is a real calendar date ``yyyy-MM-dd``."""
+    return F.coalesce(c.rlike(r"^\d{4}-\d\d-\d\d$") & F.try_to_timestamp(c, F.lit("yyyy-MM-dd")).isNotNull(), F.lit(False))
+
+
+def when_short(ts: Column, now: Column, days: int = 6) -> Column:
+    """Weekday and time of what is less than ``days`` old, else day and month, with the year if it is another."""
+    t, n = eastern(ts), eastern(now)
+    recent = ts.cast("timestamp") > now.cast("timestamp") - F.make_dt_interval(F.lit(days))
+    return F.when(recent, F.date_format(t, "EEE HH:mm")).when(F.year(t) == F.year(n), F.date_format(t, "d MMM")).otherwise(F.date_format(t, "d MMM yyyy"))

@@ -35,8 +35,8 @@ def search_key(c: Column) -> Column:
 
 
 def word_count(c: Column) -> Column:
-    """Runs of letters and digits with inner apostrophes, dots and hyphens."""
-    return F.regexp_count(F.coalesce(c, F.lit("")), F.lit(r"[\p{L}\p{N}]+(?:['.-][\p{L}\p{N}]+)*"))
+    """Runs of letters and digits with inner apostrophes (straight or curly), dots and hyphens."""
+    return F.regexp_count(F.coalesce(c, F.lit("")), F.lit(r"[\p{L}\p{N}]+(?:['’.-][\p{L}\p{N}]+)*"))
 
 
 def tokens(c: Column, least: int = 2) -> Column:
@@ -48,7 +48,7 @@ def tokens(c: Column, least: int = 2) -> Column:
 def stem(w: Column) -> Column:
     n = F.length(w)
     cut = lambda k: F.substr(w, F.lit(1), n - k)
-    return F.when((n > 4) & w.endswith("ies"), F.concat(cut(3), F.lit("y"))).when((n > 5) & w.endswith("ing"), cut(3)).when((n > 4) & w.endswith("ed"), cut(2)).when((n > 3) & w.endswith("s") & ~w.endswith("ss"), cut(1)).otherwise(w)
+    return F.when((n > 4) & w.endswith("ies"), F.concat(cut(3), F.lit("y"))).when((n > 5) & w.endswith("ing"), cut(3)).when((n > 4) & w.endswith("ed"), cut(2)).when((n > 3) & w.endswith("s") & ~w.rlike("(ss|us|is)$"), cut(1)).otherwise(w)
 
 
 def ngrams(w: Column, n: int) -> Column:
@@ -66,3 +66,30 @@ def jaccard(a: Column, b: Column) -> Column:
     """0 if either set is empty."""
     both = F.size(F.array_intersect(a, b))
     return F.when((F.size(a) > 0) & (F.size(b) > 0), both / (F.size(a) + F.size(b) - both)).otherwise(F.lit(0.0))
+
+
+def story_tokens(c: Column, stop: tuple[str, ...] = ()) -> Column:
+    """Sorted distinct stems by which stories are compared: without identifiers of vulnerabilities, stop words, pure numbers
+    and words of one character."""
+    plain = F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"cve-[0-9]{4}-[0-9]{4,}", " ")
+    w = F.filter(F.split(plain, r"[^\p{L}\p{N}]+"), lambda x: (F.length(x) >= 2) & ~x.rlike("^[0-9]+$") & (~x.isin(*stop) if stop else F.lit(True)))
+    return F.array_sort(F.array_distinct(F.transform(w, stem)))
+
+
+def plural(n: Column, one: str, many: str | None = None) -> Column:
+    return F.concat(n.cast("string"), F.lit(" "), F.when(n == 1, one).otherwise(many or f"{one}s"))
+
+
+def capital(c: Column) -> Column:
+    return F.concat(F.upper(F.substring(c, 1, 1)), F.substr(c, F.lit(2)))
+
+
+def label(key: Column, names: dict[str, str]) -> Column:
+    """The name of a key; the key itself, with spaces for underscores and a capital, if it has none."""
+    known = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    return F.coalesce(known[key], capital(F.replace(key, F.lit("_"), F.lit(" "))))
+
+
+def first_shared_run(words: Column, other: Column, n: int = 8) -> Column:
+    """The first run of ``n`` words that the array ``other`` of such runs has; null without one."""
+    return F.get(F.filter(ngrams(words, n), lambda g: F.array_contains(other, g)), 0)

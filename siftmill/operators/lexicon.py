@@ -12,15 +12,15 @@ _HITS = ArrayType(StructType([StructField("term", StringType()), StructField("st
 
 
 def pattern(term: str) -> str:
-    """Regular expression of a term: whole words, with spaces and hyphens alike; a final ``*`` lets the last word go on;
-    ``cs:`` keeps case; ``re:`` is a pattern already."""
+    """Regular expression of a term: whole words, joined by a space, a hyphen or nothing; a final ``*`` lets the last word go
+    on; any case, but for ``cs:``; ``re:`` is a pattern already. It means the same to Java and to ``regex``."""
     if term.startswith("re:"):
-        return term[3:]
+        return f"(?iu){term[3:]}"
     cased = term.startswith("cs:")
     body = term.removeprefix("cs:")
-    words = [regex.escape(w) for w in regex.split(r"[ -]+", body.rstrip("*")) if w]
-    tail = r"\p{L}*" if body.endswith("*") else ""
-    return ("" if cased else "(?i)") + r"(?<![\p{L}\p{N}])" + r"[\s-]+".join(words) + tail + r"(?![\p{L}\p{N}])"
+    words = [regex.sub(r"([^\p{L}\p{N}_])", r"\\\1", w) for w in regex.split(r"[\s-]+", body.rstrip("*")) if w]
+    tail = r"[\p{L}\p{N}]*" if body.endswith("*") else ""
+    return ("" if cased else "(?iu)") + r"(?<![\p{L}\p{N}])" + r"[\s\-]?".join(words) + tail + r"(?![\p{L}\p{N}])"
 
 
 def hits(text: Column, terms: dict[str, float]) -> Column:
@@ -40,7 +40,8 @@ def hits(text: Column, terms: dict[str, float]) -> Column:
     def run(texts: pd.Series) -> pd.Series:
         return texts.map(chosen)
 
-    return run(F.coalesce(text, F.lit("")))
+    any_term = "|".join(f"(?:{p})" for _, _, p in compiled) or r"(?!)"
+    return run(F.when(text.rlike(any_term), text))  # texts without any term reach Python as nulls
 
 
 def term_counts(df: DataFrame, text: str, terms: dict[str, float]) -> DataFrame:

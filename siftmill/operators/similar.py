@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from siftmill.functions import extract, text
 from siftmill.functions.text import half_up
 from siftmill.session import checkpointing
 
@@ -45,7 +46,8 @@ def scored_pairs(df: DataFrame, key: str) -> DataFrame:
 
     What shares no name, figure or identifier scores its Jaccard, rounded: so candidates are the pairs at 0.345 and those
     that share one of these, and no pair is lost. A name that very many rows have gives the square of their number."""
-    use = df.select(key, F.explode(F.concat(*[F.transform(c, lambda x, c=c: F.concat(F.lit(f"{c}:"), x)) for c in ("proper", "figures", "cves")])).alias("k"))
+    marked = lambda c: F.transform(c, lambda x: F.concat(F.lit(f"{c}:"), x))
+    use = df.select(key, F.explode(F.concat(*map(marked, ("proper", "figures", "cves")))).alias("k"))
     shared = use.withColumnRenamed(key, "a").join(use.withColumnRenamed(key, "b"), "k").where("a < b").select("a", "b").distinct()
     pairs = jaccard_pairs(df, key, "tokens", LEVELS[1][1] - 0.005).select("a", "b").union(shared).distinct()
     side = lambda name: df.select(F.col(key).alias(name), F.struct("tokens", "proper", "figures", "cves").alias(f"{name}s"))
@@ -77,11 +79,45 @@ def clusters(pairs: DataFrame) -> DataFrame:
         hop = root.select(F.col("a").alias("root"), F.col("root").alias("up"))
         after = root.join(near, "a").join(hop, "root").select("a", F.least("root", "m", "up").alias("root")).checkpoint()
         if after.join(root.withColumnRenamed("root", "old"), "a").where("root != old").isEmpty():
-            break
+            return root.withColumnRenamed("a", "node")
         root = after
-    return root.withColumnRenamed("a", "node")
+    raise ValueError("clusters did not settle in 64 rounds")
 
 
+def named_clusters(roots: DataFrame, df: DataFrame, key: str, order: str) -> DataFrame:
+    """``cluster, root, members`` (in order) of at least two rows, numbered by their first member: k1, k2, ... Clusters' first
+    members, not their rows, are numbered in one sequence."""
+    m = df.select(key, order).join(roots.select(F.col("node").alias(key), "root"), key)
+    g = m.groupBy("root").agg(F.min(order).alias("first"), F.array_sort(F.collect_list(F.struct(order, key))).alias("l")).where(F.size("l") > 1)
+    n = F.row_number().over(Window.orderBy("first", "root"))
+    return g.select(F.concat(F.lit("k"), n.cast("string")).alias("cluster"), "root", F.transform("l", lambda x: x[key]).alias("members"))
+
+
+def hints(survivors: DataFrame, pairs: DataFrame, key: str, order: str = "ord", k: int = 5) -> DataFrame:
+    """``key, cluster, archive_matches, candidate_matches`` of each survivor (``key, ord``), from scored pairs ``a, b, score, level``.
+
+    A document of a pair that is no survivor is an archive item. Of those the ``k`` best are listed, of other survivors
+    all; likely pairs of survivors make clusters. Pairs come in once, and are looked at from either end."""
+    checkpointing(pairs.sparkSession)
+    pairs = pairs.select("a", "b", "score", "level").checkpoint()
+    ends = both_ways(pairs)
+    own = survivors.select(F.col(key).alias("a"))
+    ends = ends.join(own, "a").join(own.select(F.col("a").alias("b"), F.lit(True).alias("inner")), "b", "left")
+    archive = ends.where("inner IS NULL").withColumn("n", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("score"), "b"))).where(F.col("n") <= k)
+    match = F.struct((-F.col("score")).alias("less"), F.col("b").alias("id"), "level")
+    listed = lambda df, name: df.groupBy("a").agg(F.transform(F.array_sort(F.collect_list(match)), lambda x: F.struct(x["id"].alias("id"), (-x["less"]).alias("score"), x["level"].alias("level"))).alias(name))
+    linked = pairs.where("level = 'likely'").join(own, "a", "left_semi").join(own.withColumnRenamed("a", "b"), "b", "left_semi")
+    named = named_clusters(clusters(linked), survivors, key, order).select("cluster", F.explode("members").alias("a"))
+    out = own.join(named, "a", "left").join(listed(archive, "archive_matches"), "a", "left").join(listed(ends.where("inner"), "candidate_matches"), "a", "left")
+    return out.withColumnRenamed("a", key)
+
+
+def documents(df: DataFrame, key: str, texts: list[str], context: list[str] = (), stop: tuple[str, ...] = ()) -> DataFrame:
+    """What stories are compared by: ``tokens, proper, figures`` of the texts, ``cves`` of the texts and their context. For a
+    candidate the texts are headline and lead; for an archive item its claim and the sources' headlines, the rest being context."""
+    t, c = F.concat_ws("\n", *texts), F.concat_ws("\n", *texts, *context)
+    return df.select(key, text.story_tokens(t, stop).alias("tokens"), extract.proper_nouns(t).alias("proper"), extract.numbers(t).alias("figures"), extract.cves(c).alias("cves"))
+
 
 def pair_score(jaccard, proper, figures, cves, fewest_cves, same_url):
     """Likeness of two stories, at most 1: words shared, plus shared names and figures; a shared identifier is worth 0.9 where

@@ -47,9 +47,8 @@ def capped(df: DataFrame, by: str, order: list[str], most: int) -> DataFrame:
 
 
 def canonical(json: Column) -> Column:
-    """A flat JSON object as text that does not depend on the order of its keys."""
-    pairs = F.array_sort(F.map_entries(F.from_json(json, "map<string,string>")))
-    return F.array_join(F.transform(pairs, lambda p: F.concat(p["key"], F.lit("="), F.coalesce(p["value"], F.lit("")))), "&")
+    """JSON as text that does not depend on the order of keys, at any depth; null for what is no JSON."""
+    return F.to_json(F.try_parse_json(json))
 
 
 def first_difference(before: DataFrame, after: DataFrame, key: str) -> DataFrame:

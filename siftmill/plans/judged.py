@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siftmill.functions import dates
-from siftmill.operators import backfill, collect, judging, readmodel
-from siftmill.plans.queries import _AFTER, _PAGES, _SLOT, _WORDS, query, read
+from siftmill.operators import backfill, collect, judging, readmodel, similar
+from siftmill.plans.queries import _AFTER, _PAGES, _PAIR, _SLOT, _WORDS, likely_pairs, query, read
 
 
 def at(s: str):
@@ -288,3 +288,19 @@ def repeats_earlier(spark, sf_dir):
 def audit_rows(spark, sf_dir):
     o = read(spark, sf_dir, "orders").withColumn("verdict", F.col("o_orderstatus"))
     return backfill.audit_rows(o.where("o_orderkey % 2 = 0"), o.where("o_orderkey % 2 = 1"), "o_orderkey")
+
+
+# ---- hints against an archive: odd documents are survivors, even ones the archive
+
+
+@query(_PAIR + """, e AS (SELECT * FROM p UNION ALL SELECT b, a, jaccard FROM p), s AS (SELECT * FROM e WHERE a % 2 = 1),
+best AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY jaccard DESC, b) AS n FROM s WHERE b % 2 = 0), m AS (SELECT a, array_to_string(list(b ORDER BY jaccard DESC, b), ',') AS archive FROM best WHERE n <= 5 GROUP BY a),
+c AS (SELECT a, array_to_string(list(b ORDER BY jaccard DESC, b), ',') AS others FROM s WHERE b % 2 = 1 GROUP BY a),
+r AS (SELECT a AS node, b AS m FROM s WHERE b % 2 = 1 UNION SELECT r.node, s.b FROM r JOIN s ON r.m = s.a WHERE s.b % 2 = 1), k AS (SELECT node, least(node, min(m)) AS root FROM r GROUP BY node),
+nm AS (SELECT node, 'k' || dense_rank() OVER (ORDER BY root)::VARCHAR AS cluster FROM k)
+SELECT doc_id, cluster, coalesce(archive, '') AS archive, coalesce(others, '') AS others FROM documents LEFT JOIN m ON m.a = doc_id LEFT JOIN c ON c.a = doc_id LEFT JOIN nm ON nm.node = doc_id WHERE doc_id % 2 = 1""")
+def hints(spark, sf_dir):
+    s = read(spark, sf_dir, "documents").where("doc_id % 2 = 1").select("doc_id", F.col("doc_id").alias("ord"))
+    h = similar.hints(s, likely_pairs(spark, sf_dir).select("a", "b", F.col("jaccard").alias("score"), F.lit("likely").alias("level")), "doc_id")
+    ids = lambda c: F.coalesce(F.array_join(F.transform(c, lambda x: x["id"].cast("string")), ","), F.lit(""))
+    return h.select("doc_id", "cluster", ids("archive_matches").alias("archive"), ids("candidate_matches").alias("others"))

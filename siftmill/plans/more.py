@@ -145,7 +145,7 @@ def stream_first_seen(spark, sf_dir):
     checkpointing(spark)
     folder = f"{spark.conf.get('spark.checkpoint.dir', None) or spark.sparkContext.getCheckpointDir()}/stream-{uuid.uuid4().hex}"
     schema = read(spark, sf_dir, "events").schema
-    rows = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")  # a pattern: as such a stream reads a single file too.where("user_id IS NOT NULL")
+    rows = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]").where("user_id IS NOT NULL")  # a pattern: as such a stream reads a single file too
     return ledger.dedup_to_table(spark, rows.select("user_id", F.col("ts").cast("timestamp").alias("ts")), "user_id", "ts", f"{folder}/out", f"{folder}/state").select("user_id")
 
 

@@ -89,8 +89,9 @@ def lead_words(spark, sf_dir):
 
 _HOST = "lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1))"
 _PARAMS = "list_filter(string_split(regexp_extract(url, '^[^?#]*\\?([^#]*)', 1), '&'), lambda p: p <> '')"
-_TRACKED = f"regexp_matches(lower(regexp_extract(p, '^([^=]*)', 1)), '{url.TRACKING}')"
-_NORM = f"""CASE WHEN regexp_matches(url, '^[Hh][Tt][Tt][Pp][Ss]?://[^/?#]') THEN 'https://' || {_HOST} ||
+_TRACKED = "regexp_matches(lower(regexp_extract(p, '^([^=]*)', 1)), '^(utm_[a-z0-9_]*|fbclid|gclid|mc_[a-z0-9_]*|cmpid|cmp|ito|sr_share|smid|partner|ref|[a-z]+-[0-9a-f]{6,})$')"
+_PORT = "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?[^/?#:]*:([0-9]+)', 1)"
+_NORM = f"""CASE WHEN regexp_matches(url, '^[Hh][Tt][Tt][Pp][Ss]?://[^/?#]') THEN 'https://' || {_HOST} || CASE WHEN {_PORT} IN ('', '80', '443') THEN '' ELSE ':' || {_PORT} END ||
   regexp_replace(regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/+', '/', 'g'), '/$', '') ||
   CASE WHEN kept <> '' THEN '?' || kept ELSE '' END END"""
 _PAGES = f"u AS (SELECT page_id, url, coalesce(array_to_string(list_filter({_PARAMS}, lambda p: NOT {_TRACKED}), '&'), '') AS kept FROM pages), n AS (SELECT page_id, url, {_NORM} AS norm FROM u)"
@@ -267,7 +268,7 @@ def missing_judgments(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id").join(read(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_anti")
 
 
-@query("SELECT o_orderkey, strftime(o_orderdate, '%y%m%d') || '-' || lpad(n::VARCHAR, 2, '0') AS item_id FROM (SELECT *, row_number() OVER (PARTITION BY o_orderdate::DATE ORDER BY o_orderpriority, o_orderstatus, o_orderkey) AS n FROM orders) WHERE n <= 99")
+@query("SELECT o_orderkey, strftime(o_orderdate, '%y%m%d') || '-' || CASE WHEN n < 10 THEN '0' ELSE '' END || n::VARCHAR AS item_id FROM (SELECT *, row_number() OVER (PARTITION BY o_orderdate::DATE ORDER BY o_orderpriority, o_orderstatus, o_orderkey) AS n FROM orders)")
 def rank_ids(spark, sf_dir):
     o = read(spark, sf_dir, "orders").withColumn("day", F.to_date("o_orderdate"))
     out = readmodel.rank_ids(o, "day", [F.col("o_orderpriority"), F.col("o_orderstatus"), F.col("o_orderkey")], F.date_format("day", "yyMMdd"))
@@ -325,8 +326,9 @@ def ngram_guard(spark, sf_dir):
         w = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}\p{N}]+"), lambda x: x != "")
         return df.withColumn("w", w).withColumn("g", F.explode(F.array_distinct(text.ngrams(F.col("w"), 8))))
 
-    d, b = grams(read(spark, sf_dir, "documents")), grams(read(spark, sf_dir, "benchmark"))
-    return d.select("doc_id", "g").join(b.select("g").distinct(), "g", "left_semi").groupBy("doc_id").agg(F.count(F.lit(1)).alias("shared"))
+    d, b = grams(read(spark, sf_dir, "documents")), grams(read(spark, sf_dir, "benchmark")).select("g").distinct()
+    b = F.broadcast(b) if b.count() <= 500_000 else b  # then no run of a document is shuffled
+    return d.select("doc_id", "g").join(b, "g", "left_semi").groupBy("doc_id").agg(F.count(F.lit(1)).alias("shared"))
 
 
 _TOK = "t AS (SELECT doc_id, list_distinct(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: length(x) >= 2 AND NOT regexp_matches(x, '^[0-9]+$'))) AS w FROM documents)"

@@ -1,5 +1,6 @@
 """SparkSession with the settings that the library expects."""
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -14,7 +15,7 @@ def checkpointing(spark: SparkSession) -> SparkSession:
     """Keeps the session's checkpoint folder; sets a temporary one only where none is set, in local mode."""
     sc = spark.sparkContext
     if not (spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()):
-        if not sc.master.startswith("local"):
+        if not re.match(r"local(\[|$)", sc.master):
             raise ValueError("set spark.checkpoint.dir to a shared folder")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="siftmill-"))
     return spark

@@ -8,6 +8,7 @@ import pytest
 
 import siftmill.plans.judged  # noqa: F401
 import siftmill.plans.more  # noqa: F401
+import siftmill.plans.scorer  # noqa: F401
 from siftmill.plans.queries import ORACLES, QUERIES
 
 TABLES = "customer orders lineitem events documents pages benchmark labels conversations".split()
