@@ -17,6 +17,9 @@ LEAD_FACTOR, DOMAIN_CAP, DOMAIN_TOTAL_CAP, QUALIFY = 0.5, 6.0, 8.0, 2.0
 CAPS = {"materiality": 6.0, "sector": 5.0, "enterprise": 2.0}
 
 
+_HITS = "array<struct<less: double, shorter: int, ord: int, field: string, start: int, stop: int, tier: string, term: string>>"
+
+
 @dataclass(frozen=True)
 class Term:
     """``component`` is domain, materiality, sector, enterprise or noise; ``tier`` strong, medium or weak."""
@@ -77,7 +80,7 @@ def chosen(title: Column, lead: Column, terms: list[Term]) -> Column:
 
     found = F.array_sort(F.array_compact(F.array(*[hit(i, t) for i, t in enumerate(terms)])))
     apart = lambda kept, h: ~F.exists(kept, lambda k: (k["field"] == h["field"]) & (h["start"] < k["stop"]) & (k["start"] < h["stop"]))
-    return F.aggregate(found, F.filter(found, lambda h: F.lit(False)), lambda kept, h: F.when(apart(kept, h), F.concat(kept, F.array(h))).otherwise(kept))
+    return F.aggregate(found, F.array().cast(_HITS), lambda kept, h: F.when(apart(kept, h), F.concat(kept, F.array(h))).otherwise(kept))
 
 
 def total(hits: Column) -> Column:
