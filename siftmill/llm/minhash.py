@@ -7,6 +7,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from siftmill.llm.common import Forest, components, fresh, grouped, staged, table
 from siftmill.llm.words import joined_words, places, runs_of, word_hashes
@@ -173,6 +174,54 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
     return np.rint(out).astype(np.int64)
 
 
+def sharing(placed: DataFrame, whole: DataFrame, num: int, den: int) -> DataFrame:
+    """Members ``component, key, rest`` with their sets ``key, s`` -> groups ``component, token, level, key, rest`` such that
+    every pair of a component with a rest member in it and intersection / union >= num / den meets in a group.
+
+    Prefix bounds: shingles are ordered by their number of rest members, rarest first. Such a pair shares one of the first
+    ``n - ceil(n * num / den) + 1`` of either set, and its sizes lie on one level or two that follow each other. So members
+    that have only frequent shingles in common, such as a template, meet nowhere. Shingles that the same members share
+    give one group."""
+
+    def tokens(batches):
+        for b in batches:
+            sets = [np.frombuffer(s, np.int64) for s in b["s"].to_pylist()]
+            sizes = np.array([len(s) for s in sets], np.int64)
+            for i, one in enumerate(sets):
+                for at in range(0, len(one), 100_000):
+                    part = one[at : at + 100_000]
+                    own = [pa.array(np.full(len(part), b[c][i].as_py())) for c in ("component", "key", "rest")]
+                    yield pa.RecordBatch.from_arrays([*own, pa.array(np.full(len(part), sizes[i])), pa.array(part)], ["component", "key", "rest", "n", "token"])
+
+    all_tokens = staged(placed.join(whole, "key").mapInArrow(tokens, "component long, key long, rest boolean, n long, token long"))
+    seen = staged(all_tokens.where("rest").groupBy("component", "token").agg(F.count(F.lit(1)).alias("c")))
+    own = Window.partitionBy("component", "key")
+    ranked = all_tokens.join(seen, ["component", "token"]).withColumns({"nth": F.row_number().over(own.orderBy("c", "token")), "k": F.count(F.lit(1)).over(own)})
+    first = F.col("n") - F.expr(f"(n * {num} + {den - 1}) div {den}") + 1
+    level = F.floor(F.log(F.col("n")) / (np.log(den / num) * 1.001))
+    prefix = ranked.where(F.col("nth") + F.col("n") - F.col("k") <= first)
+    prefix = staged(prefix.select("component", "token", F.explode(F.array(level, level + 1)).alias("level"), "key", "rest"))
+    by = ["component", "token", "level"]
+    same = [F.count(F.lit(1)).alias("all_n"), F.sum(F.col("rest").cast("long")).alias("rest_n"), F.bit_xor(F.xxhash64("key")).alias("x"), F.sum(F.shiftright(F.xxhash64(F.lit(1), "key"), 32)).alias("y")]
+    groups = prefix.groupBy(*by).agg(*same).where("all_n > 1 AND rest_n > 0")
+    groups = groups.groupBy("component", "all_n", "rest_n", "x", "y").agg(F.min(F.struct("token", "level")).alias("o"))
+    return prefix.join(staged(groups.select("component", "o.token", "o.level", "all_n", "rest_n")), by)
+
+
+def blocks_of(groups: DataFrame) -> DataFrame:
+    """Groups of ``sharing`` -> parts ``component, token, level, i, j, main, key`` to compare: each whole if it has at most
+    BLOCK members; else every block of rest members with every other block."""
+    blocks = lambda n: F.ceil(n / BLOCK).cast("long")
+    rest_n, main_n = F.col("rest_n"), F.col("all_n") - F.col("rest_n")
+    part = lambda i, j, main: F.struct(i.cast("long").alias("i"), j.cast("long").alias("j"), F.lit(main).alias("main"))
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), blocks(n) - 1)
+    mine = F.pmod(F.xxhash64("key"), F.when(F.col("rest"), blocks(rest_n)).otherwise(blocks(main_n)))
+    with_rest = F.transform(upto(rest_n), lambda i: F.when(F.col("rest"), part(F.least(mine, i), F.greatest(mine, i), 0)).otherwise(part(i, mine, 1)))
+    with_main = F.when(main_n > 0, F.transform(upto(main_n), lambda j: part(mine, j, 1))).otherwise(F.array().cast("array<struct<i:bigint,j:bigint,main:int>>"))
+    parts = F.when(F.col("all_n") <= BLOCK, F.array(part(F.lit(0), F.lit(0), 0))).when(F.col("rest"), F.concat(with_rest, with_main)).otherwise(with_rest)
+    return groups.select("component", "token", "level", "key", F.explode(parts).alias("p")).select("component", "token", "level", "p.i", "p.j", "p.main", "key").distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num: int = 85, den: int = 100, width: int = 3) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``.
 
@@ -184,8 +233,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Equal sets become one class first. Classes are sorted by 16 rotations of their signatures; neighbours with a long
     common prefix whose signatures agree are candidates, and chains of candidates make clusters. A cluster of at most
     BLOCK classes is compared in one task, pair by pair on the full sets. A larger one is first compared in its forest
-    regions; then what that leaves outside the cluster's main component is compared with all of the cluster, block by
-    block. So no task grows with a group, and what leaves a task is a spanning forest, not all pairs."""
+    regions; then what that leaves outside the cluster's main component is compared with those of the cluster that share
+    rare shingles with it, as prefix bounds allow. So no task grows with a group, and what leaves a task is a spanning forest, not all pairs."""
 
     def sign(batches):
         for b in batches:
@@ -225,15 +274,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = clusters.where("m IS NOT NULL").join(found.withColumnRenamed("component", "found").withColumnRenamed("node", "key"), "key", "left")
     members = staged(members.select("component", "key", F.coalesce("found", "key").alias("found")))
     tally = members.groupBy("component", "found").agg(F.count(F.lit(1)).alias("n"))
-    main = tally.groupBy("component").agg(F.max_by("found", "n").alias("main"), (F.sum("n") - F.max("n")).alias("rest_n"), F.max("n").alias("main_n"))
-    placed = members.join(staged(main.where("rest_n > 0")), "component").withColumn("rest", F.col("found") != F.col("main"))
-    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("long")
-    mine = F.pmod(F.xxhash64("key"), F.when(F.col("rest"), blocks("rest_n")).otherwise(blocks("main_n")))
-    pair = lambda j: F.struct(F.least(mine, j).alias("i"), F.greatest(mine, j).alias("j"), F.lit(0).alias("main"))
-    with_rest = F.transform(F.sequence(F.lit(0).cast("long"), blocks("rest_n") - 1), lambda i: F.when(F.col("rest"), pair(i)).otherwise(F.struct(i.alias("i"), mine.alias("j"), F.lit(1).alias("main"))))
-    with_main = F.transform(F.sequence(F.lit(0).cast("long"), blocks("main_n") - 1), lambda j: F.struct(mine.alias("i"), j.alias("j"), F.lit(1).alias("main")))
-    spread = placed.select("component", "key", F.explode(F.when(F.col("rest"), F.concat(with_rest, with_main)).otherwise(with_rest)).alias("p"))
-    again, seen = staged(compare(spread.select("component", "p.i", "p.j", "p.main", "key").distinct()), F.count(F.lit(1)).alias("n"))
+    main = tally.groupBy("component").agg(F.max_by("found", "n").alias("main"), F.count(F.lit(1)).alias("parts"))
+    placed = members.join(staged(main.where("parts > 1")), "component").select("component", "key", (F.col("found") != F.col("main")).alias("rest"))
+    spread = blocks_of(sharing(staged(placed), whole, num, den))
+    again, seen = staged(compare(spread), F.count(F.lit(1)).alias("n"))
     if seen["n"]:
         found = staged(components(links.union(again)))
 

@@ -101,6 +101,32 @@ def test_near_duplicates_equal_signatures(spark):
     assert {r["component_id"] for r in out} == {0} and sum(r["kept"] for r in out) == 1
 
 
+def test_sharing_meets_all_near_pairs(spark, monkeypatch):
+    """Sets over one template: every near pair with a rest member meets in a part; sets that share the template alone meet nowhere."""
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    rng, sets = np.random.default_rng(3), []
+    for k in range(150):
+        own = rng.integers(1000, 10**9, 30)
+        sets.append(np.concatenate([np.arange(70), own]))
+        if k % 3 == 0:  # a partner at 0.85 or just below it, and of another size
+            sets.append(np.concatenate([np.arange(70), own[: 30 - k // 3 % 12], rng.integers(1000, 10**9, k // 3 % 7)]))
+    sets += [np.concatenate([np.arange(70), np.arange(500, 530), [10**10 + k]]) for k in range(40)]  # a crowd that shares its own part too
+    sets = [np.unique(s.astype(np.uint64)) for s in sets]
+    rest = [bool(k % 4) for k in range(len(sets))]
+    placed = spark.createDataFrame([(1, k, r) for k, r in enumerate(rest)], "component long, key long, rest boolean")
+    whole = spark.createDataFrame([(k, bytearray(s.tobytes())) for k, s in enumerate(sets)], "key long, s binary")
+    rows = minhash.blocks_of(minhash.sharing(placed, whole, 85, 100)).collect()
+    parts = {}
+    for r in rows:
+        parts.setdefault(tuple(r)[:-1], set()).add(r["key"])
+    met = {p for keys in parts.values() for p in itertools.combinations(sorted(keys), 2)}
+    near = lambda a, b: 100 * len(np.intersect1d(sets[a], sets[b])) >= 85 * len(np.union1d(sets[a], sets[b]))
+    wanted = {(a, b) for a, b in itertools.combinations(range(len(sets)), 2) if (rest[a] or rest[b]) and near(a, b)}
+    assert wanted and wanted <= met
+    crowd = range(200, 240)
+    assert len(met) <= 200 + len(list(itertools.combinations(crowd, 2)))
+
+
 def test_candidates_meet_over_cuts():
     """Rows that all agree make one chain over cut regions and over cut tables."""
     path, n = b"x" * minhash.VALUES, 1000
