@@ -19,6 +19,9 @@ VALUES, TREES, LEAST = 64, 16, 4
 AGREE = 40
 #: Documents compared with each other in one task at most. Larger regions are split where neighbours' prefixes are shortest.
 BLOCK = 128
+#: Up to so many blocks of leftovers, a cluster is compared block by block, so that each set is read at most 64 times or so; at 2,521
+#: leftovers that is faster than a row for each shingle. Beyond, leftovers meet by the shingles that they share.
+TURNS = 32
 _RNG = np.random.default_rng(20240229)
 _A = (_RNG.integers(0, 2**32, VALUES, dtype=np.uint64) | 1).astype(np.uint32)[:, None]
 _B = _RNG.integers(0, 2**32, VALUES, dtype=np.uint64).astype(np.uint32)[:, None]
@@ -233,8 +236,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Equal sets become one class first. Classes are sorted by 16 rotations of their signatures; neighbours with a long
     common prefix whose signatures agree are candidates, and chains of candidates make clusters. A cluster of at most
     BLOCK classes is compared in one task, pair by pair on the full sets. A larger one is first compared in its forest
-    regions; then what that leaves outside the cluster's main component is compared with those of the cluster that share
-    rare shingles with it, as prefix bounds allow. So no task grows with a group, and what leaves a task is a spanning forest, not all pairs."""
+    regions; then what that leaves outside the cluster's main component is compared with all of the cluster, block by
+    block, or, if it is more than TURNS blocks, with those that share rare shingles with it, as prefix bounds allow. So no task grows with a group, and what leaves a task is a spanning forest, not all pairs."""
 
     def sign(batches):
         for b in batches:
@@ -274,9 +277,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = clusters.where("m IS NOT NULL").join(found.withColumnRenamed("component", "found").withColumnRenamed("node", "key"), "key", "left")
     members = staged(members.select("component", "key", F.coalesce("found", "key").alias("found")))
     tally = members.groupBy("component", "found").agg(F.count(F.lit(1)).alias("n"))
-    main = tally.groupBy("component").agg(F.max_by("found", "n").alias("main"), F.count(F.lit(1)).alias("parts"))
-    placed = members.join(staged(main.where("parts > 1")), "component").select("component", "key", (F.col("found") != F.col("main")).alias("rest"))
-    spread = blocks_of(sharing(staged(placed), whole, num, den))
+    sums = [F.max_by("found", "n").alias("main"), F.sum("n").alias("all_n"), (F.sum("n") - F.max("n")).alias("rest_n")]
+    main = staged(tally.groupBy("component").agg(*sums).where("rest_n > 0"))
+    placed = staged(members.join(main, "component").select("component", "key", (F.col("found") != F.col("main")).alias("rest"), "all_n", "rest_n"))
+    few = placed.where(F.col("rest_n") <= TURNS * BLOCK).select("component", F.lit(0).cast("long").alias("token"), F.lit(0).cast("long").alias("level"), "key", "rest", "all_n", "rest_n")
+    many = sharing(placed.where(F.col("rest_n") > TURNS * BLOCK).select("component", "key", "rest"), whole, num, den)
+    spread = blocks_of(few.unionByName(many))
     again, seen = staged(compare(spread), F.count(F.lit(1)).alias("n"))
     if seen["n"]:
         found = staged(components(links.union(again)))

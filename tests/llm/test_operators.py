@@ -80,9 +80,10 @@ def brute_near(rows):
 
 
 @pytest.mark.parametrize("name", ["odd", "documents"])
-@pytest.mark.parametrize("block", [128, 8])
-def test_near_duplicates(request, monkeypatch, name, block):
-    monkeypatch.setattr(minhash, "BLOCK", block)  # clusters above 8: regions, then blocks against the rest
+@pytest.mark.parametrize("block, turns", [(128, 32), (8, 32), (8, 0)])
+def test_near_duplicates(request, monkeypatch, name, block, turns):
+    monkeypatch.setattr(minhash, "BLOCK", block)  # clusters above 8: regions, then blocks against the rest, or shared shingles
+    monkeypatch.setattr(minhash, "TURNS", turns)
     df = request.getfixturevalue(name)
     assert {tuple(r) for r in minhash.near_duplicates(df).collect()} == brute_near(pairs(df))
 
