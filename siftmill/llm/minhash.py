@@ -19,8 +19,8 @@ VALUES, TREES, LEAST = 64, 16, 4
 AGREE = 40
 #: Documents compared with each other in one task at most. Larger regions are split where neighbours' prefixes are shortest.
 BLOCK = 128
-#: Up to so many blocks of leftovers, a cluster is compared block by block, so that each set is read at most 64 times or so; at 2,521
-#: leftovers that is faster than a row for each shingle. Beyond, leftovers meet by the shingles that they share.
+#: Up to so many blocks of leftovers, a cluster is compared block by block, so that each set is read at most 64 times or so; in a cluster of
+#: 2,521 that is faster than a row for each shingle. Beyond, leftovers meet by the shingles that they share.
 TURNS = 32
 _RNG = np.random.default_rng(20240229)
 _A = (_RNG.integers(0, 2**32, VALUES, dtype=np.uint64) | 1).astype(np.uint32)[:, None]
