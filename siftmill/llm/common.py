@@ -140,6 +140,18 @@ def numbered(df: DataFrame, groups: list[str], order: list[str], value: str, row
     return placed.withColumn("before", F.col("_base") + F.col("_in") + F.col("_nth") * F.col(value)).drop("_cell", "_base", "_in", "_all", "_times", "_nth")
 
 
+def positions(df: DataFrame, group: list[str], order: list[str], name: str = "n") -> DataFrame:
+    """Add ``name``: the row's place (from 0) in its group, in ``order``, nulls first. Rows are dealt out by ranges of group and
+    order, so a group of any size lies in many tasks; places come from the sizes of the ranges, a row each."""
+    spread = df.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
+    base = staged(spread.withColumns({"_pid": F.spark_partition_id(), "_in": F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))}))
+    sizes = base.groupBy("_pid").agg(F.count(F.lit(1)).alias("_size"))
+    ahead = sizes.select("_pid", (F.sum("_size").over(Window.orderBy("_pid")) - F.col("_size")).alias("_ahead"))
+    at = base.join(F.broadcast(ahead), "_pid").withColumn("_at", F.col("_ahead") + F.col("_in"))
+    first = staged(at.groupBy(*group).agg(F.min("_at").alias("_first")))
+    return at.join(first, group).withColumn(name, F.col("_at") - F.col("_first")).drop("_pid", "_in", "_ahead", "_at", "_first")
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """The names, lengthened until no column of ``df`` is called so (whatever the case)."""
     taken = {c.lower() for c in df.columns}
