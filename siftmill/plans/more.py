@@ -10,16 +10,15 @@ from siftmill.functions import dates, extract, markup, text, url
 from siftmill.functions.text import half_up
 from siftmill.operators import backfill, checks, lexicon, publish, readmodel, score, similar, state
 from siftmill.plans.queries import _ET, _HOST, _J, _PAIR, _PARAMS, _SLOT, _scored, candidates, judgments, likely_pairs, query, read
+from siftmill.plans.stories import FIGURES
 from siftmill.session import checkpointing
 from siftmill.streaming import ledger
 
 # ---- texts
 
-_KEY = r"trim(replace(regexp_extract(m, '^[0-9,.]+'), ',', '') || ' ' || CASE trim(regexp_replace(m, '^[0-9,.]+', '')) WHEN 'bn' THEN 'billion' WHEN 'percent' THEN '%' ELSE trim(regexp_replace(m, '^[0-9,.]+', '')) END)"
-
 
 def _numbers(t: str) -> str:
-    return f"list_sort(list_distinct(list_filter(list_transform(regexp_extract_all(lower(coalesce({t}, '')), '{extract._NUMBER}'), lambda m: {_KEY}), lambda k: contains(k, ' ') OR (regexp_matches(k, '^0*[1-9][0-9]{{2,}}') AND NOT regexp_matches(k, '^(19|20)[0-9]{{2}}$')))))"
+    return FIGURES.format(t)
 
 
 @query(f"SELECT doc_id, len(n)::INT AS n, array_to_string(n, '|') AS numbers FROM (SELECT doc_id, {_numbers('text')} AS n FROM documents)")
