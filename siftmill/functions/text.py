@@ -27,7 +27,9 @@ def lead(c: Column, n: int, skip: int = 0) -> Column:
 
 
 def typographic(c: Column) -> Column:
-    return F.translate(c, "‘’“”–—", "''\"\"--")
+    for curly, plain in zip("‘’“”–—", "''\"\"--", strict=True):  # a chain of searches is far cheaper than translate
+        c = F.replace(c, F.lit(curly), F.lit(plain))
+    return c
 
 
 def search_key(c: Column) -> Column:
