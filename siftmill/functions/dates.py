@@ -41,8 +41,9 @@ def slot_at_or_after(ts: Column) -> Column:
 
 
 def next_slot(slot: Column) -> Column:
-    day, hour = F.to_date(F.substring(slot, 1, 10)), F.substring(slot, 12, 2)
-    return F.when(hour == "18", _slot(F.date_add(day, 1), F.lit("06"))).otherwise(_slot(day, F.when(hour == "06", "10").when(hour == "10", "14").otherwise("18")))
+    """The slot after; null for what is no slot."""
+    day, hour = F.try_to_timestamp(F.substring(slot, 1, 10), F.lit("yyyy-MM-dd")).cast("date"), F.substring(slot, 12, 2)
+    return F.when(~slot.rlike(r"^\d{4}-\d\d-\d\d-(06|10|14|18)00$") | day.isNull(), F.lit(None)).when(hour == "18", _slot(F.date_add(day, 1), F.lit("06"))).otherwise(_slot(day, F.when(hour == "06", "10").when(hour == "10", "14").otherwise("18")))
 
 
 def slot_instant(slot: Column) -> Column:

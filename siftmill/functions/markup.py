@@ -18,7 +18,13 @@ _TAG = re.compile(r"<(/?)([A-Za-z][\w:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>")
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 CHROME = ("nav", "header", "footer", "aside")
 #: Wording of pages that answer with success though there is nothing; a parameter of ``soft404``.
-MISSING = r"(?:page|article|document|content) (?:not found|no longer (?:exists|available)|(?:has been|was) (?:removed|deleted|moved))|(?:^|[^0-9])404(?:[^0-9]|$)"
+MISSING = r"(?:page|article|document|content) (?:you (?:are|were) looking for )?(?:(?:was |could )?not (?:be )?found|does not exist|no longer (?:exists|available)|is (?:missing|gone|no longer available)|(?:has been|was) (?:removed|deleted|moved))|nothing (?:was )?found (?:at|on) this (?:address|location|page)"
+#: What a title or heading of at most six words says beside.
+BARE = r"(?:^|[^0-9])404(?:[^0-9]|$)|^not found$"
+#: Signs of a wall: hosts, titles of at most eight words, and paths where addresses that are gone end.
+WALL_HOST, WALL_TITLE = r"^(?:unblock|captcha|challenge|verify|botcheck)\.", r"(?:^|[^a-z])(?:request access|access denied|just a moment|attention required|are you a (?:human|robot)|verify you are human)(?:[^a-z]|$)"
+HOME = r"^/(?:[a-z]{2}(?:[-_][a-z]{2,4})?/?)?(?:(?:index|default|home)(?:\.(?:html?|aspx?|php))?)?/?$"
+ENDS = (("error_page", r"(?:^|/)(?:404|(?:page[-_]?)?not[-_]?found|errors?|missing)(?:\.[a-z0-9]+)?(?:/|$)"), ("search_page", r"^/(?:[a-z]{2}/)?(?:search|find)(?:\.[a-z0-9]+)?/?$"))
 #: (reason, pattern of a path in lower case).
 WALLS = (("login", r"/(?:login|signin|sign-in|sso|auth)(?:[/.]|$)"), ("consent", r"/(?:consent|cookie-wall)(?:[/.]|$)"), ("subscribe", r"/(?:subscribe|paywall|register)(?:[/.]|$)"))
 _HIDDEN = r"(?is)<head>.*?</head>|<head .*?</head>|<script.*?</script>|<style.*?</style>|<[^>]*>"
@@ -125,9 +131,30 @@ def content_kind(mime: Column) -> Column:
 
 
 def soft404(c: Column, missing: str = MISSING) -> Column:
-    """Where a page says that it is missing: its title, first heading or opening; null if it doesn't."""
+    """Where a page says that it is missing: its title, any of its headings, or its whole text; null if it doesn't. Short titles and
+    headings also say so with a bare number."""
     says = lambda x: F.lower(x).rlike(missing)
-    return F.when(says(title(c)), "title").when(says(F.coalesce(F.get(headings(c), 0), F.lit(""))), "heading").when(says(opening(c)), "opening")
+    short = lambda x: says(x) | (F.lower(x).rlike(BARE) & (F.size(F.split(x, " ")) <= 6))
+    heads = F.concat(headings(c, 1), headings(c, 2))
+    return F.when(short(title(c)), "title").when(F.exists(heads, short), "heading").when(says(spaced(F.regexp_replace(c, _HIDDEN, " "))), "text")
+
+
+def wall_reason(asked: Column, final: Column, page_title: Column, redirects: Column) -> Column:
+    """Why an answer with success is no page: ``wall_host`` or ``wall_title`` (a short one) of a check of visitors; after a redirect, the
+    ``home`` page where another was asked for, an ``error_page`` or ``search_page``, or a ``parent`` of the address on its own site.
+    The query that names the page, kept through the redirect, speaks for the page. Null if it may be the page."""
+    a, f = F.lower(url.path(asked)), F.lower(url.path(final))
+    trim = lambda p: F.regexp_replace(F.regexp_replace(p, r"/(?:index|default)\.(?:html?|aspx?|php)$", ""), "/+$", "")
+    telling = lambda u: F.filter(url.query_params(u), lambda p: ~url.is_tracking(p, url.host(u)))
+    kept = (F.size(telling(asked)) > 0) & (F.size(F.array_except(telling(asked), telling(final))) == 0)
+    was_home = a.rlike(HOME) & (F.size(telling(asked)) == 0)
+    t = F.lower(F.coalesce(page_title, F.lit("")))
+    out = F.when(url.host(final).rlike(WALL_HOST), "wall_host").when(t.rlike(WALL_TITLE) & (F.size(F.split(t, r"\s+")) <= 8), "wall_title")
+    moved = redirects > 0
+    out = out.when(moved & ~was_home & f.rlike(HOME) & ~kept, "home")
+    for name, pattern in ENDS:
+        out = out.when(moved & f.rlike(pattern) & ~a.rlike(pattern), name)
+    return out.when(moved & url.same_site(asked, final) & (trim(f) != "") & F.startswith(trim(a), F.concat(trim(f), F.lit("/"))) & ~kept, "parent")
 
 
 def access_wall(asked: Column, final: Column) -> Column:

@@ -66,9 +66,9 @@ def urls_to_verify(items: DataFrame, sources: str, candidates: DataFrame, addres
     return items.select(F.explode(sources).alias("url")).unionByName(candidates.where(wanted).select(F.col(address).alias("url"))).where("url IS NOT NULL").distinct()
 
 
-def backfilled_in_window(items: DataFrame, flag: str, at: str, start: Column, until: Column) -> DataFrame:
-    """Backfilled items of a window, half open, by time and id."""
-    return items.where(F.coalesce(F.col(flag), F.lit(False)) & (F.col(at) >= start) & (F.col(at) < until))
+def backfilled_in_window(items: DataFrame, flag: str, at: str, start: Column, until: Column, key: str = "item_id") -> DataFrame:
+    """Backfilled items of a window, half open, sorted by time and id."""
+    return items.where(F.coalesce(F.col(flag), F.lit(False)) & (F.col(at) >= start) & (F.col(at) < until)).orderBy(at, key)
 
 
 def slot_in_window(at: Column, start: Column, until: Column, last_slot: Column) -> Column:
@@ -90,7 +90,11 @@ def repeats_earlier(df: DataFrame, key: str, order: str, words: str, n: int = 12
     grams = df.select(key, order, F.explode(F.transform(ngrams(F.col(words), n), lambda g: F.xxhash64(g))).alias("g"))
     first = grams.groupBy("g").agg(F.min(F.struct(order, key)).alias("first"))
     met = grams.join(first, "g").where(F.struct(F.col(order), F.col(key)) > F.col("first"))
-    return met.groupBy(key).agg(F.min("first").alias("f")).select(key, F.col(f"f.{key}").alias("earlier"))
+    # a run is met by its hash; the words of the two rows then prove it
+    pairs = met.select(key, F.col("first")).distinct().withColumn("_b", F.col(f"first.{key}"))
+    side = df.select(F.col(key), F.col(words).alias("_wa"))
+    both = pairs.join(side, key).join(side.toDF("_b", "_wb"), "_b").where(F.arrays_overlap(ngrams(F.col("_wa"), n), ngrams(F.col("_wb"), n)))
+    return both.groupBy(key).agg(F.min("first").alias("f")).select(key, F.col(f"f.{key}").alias("earlier"))
 
 
 def expected_days(checks: DataFrame, candidates: DataFrame, address: str, day: str) -> DataFrame:

@@ -55,7 +55,7 @@ def path_date(u: Column, rules: dict[str, str]) -> Column:
 
 
 def stated_date(lead: Column) -> Column:
-    """The date with which a lead ends, as in ``..., Paris, 9 September 2026.``"""
+    """The date after the last comma of a lead, as in ``Minutes, 4 July 2019.``"""
     day, month, year = (F.regexp_extract(lead, r",\s*(\d{1,2})\s+(\p{Lu}\p{Ll}+)\s+(\d{4})\.?\s*$", i) for i in (1, 2, 3))
     at = F.try_to_timestamp(F.concat_ws(" ", day, month, year), F.lit("d MMMM yyyy"))
     return F.when((year >= "1990") & at.isNotNull(), F.date_format(at, "yyyy-MM-dd"))
@@ -63,7 +63,7 @@ def stated_date(lead: Column) -> Column:
 
 def reposted(lead: Column, feed_day: Column, days: int = REPOST_DAYS) -> Column:
     """Whether a lead states a date so many days or more before the feed's."""
-    return F.coalesce(F.datediff(feed_day.cast("date"), stated_date(lead).cast("date")) >= days, F.lit(False))
+    return F.coalesce(F.datediff(F.try_to_timestamp(F.substring(feed_day.cast("string"), 1, 10), F.lit("yyyy-MM-dd")).cast("date"), stated_date(lead).cast("date")) >= days, F.lit(False))
 
 
 def candidates(entries: DataFrame, sources: DataFrame, now: Column, since: Column, rules: dict[str, str], replay: bool = False, undated: int = 20) -> DataFrame:

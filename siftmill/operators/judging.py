@@ -77,7 +77,7 @@ def run_checks(runs: DataFrame, key: str = "run_id") -> DataFrame:
     stage2, published`` and ``mechanisms`` (map of counts)."""
     slot, n, c = F.col(key), F.size("items"), F.col
     starts = dates.slot_instant(slot)
-    stem = F.date_format(F.to_date(F.substring(slot, 1, 10)), "yyyy-MM-dd")
+    stem = F.date_format(F.try_to_timestamp(F.substring(slot, 1, 10), F.lit("yyyy-MM-dd")), "yyyy-MM-dd")
     down = [("in_window", "unseen"), ("unseen", "stage1"), ("stage1", "stage2"), ("stage2", "published")]
     rules = [
         ("run_id", "error", key, starts.isNotNull()), ("slot", "error", "slot_at", starts.isNull() | (c("slot_at") == starts)), ("finished_first", "error", "finished", c("finished") >= c("started")),

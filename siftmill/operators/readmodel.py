@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from siftmill.functions import reasons
 from siftmill.functions.text import half_up
 
 
@@ -27,8 +28,11 @@ def windows(df: DataFrame, ts: str, now: Column, spans: dict[str, int], by: str)
 
 
 def zero_filled(df: DataFrame, key: str, values: list[str], *aggs: Column) -> DataFrame:
+    """A row for each of ``values``, in their order (``ord``), zeros too; other keys follow with the next number, so that no row of
+    ``df`` is lost but those without a key."""
     names = df.sparkSession.createDataFrame([(v, i) for i, v in enumerate(values)], f"{key} string, ord int")
-    return names.join(df.groupBy(key).agg(*aggs), key, "left").fillna(0)
+    found = df.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
+    return names.join(found, key, "full").withColumn("ord", F.coalesce("ord", F.lit(len(values)))).fillna(0)
 
 
 def ratio(n: Column, d: Column) -> Column:
@@ -117,18 +121,35 @@ def calibration_totals(runs: DataFrame, status: str, *counters: str) -> DataFram
     return runs.agg(*[F.count_if(F.col(status) == s).alias(s) for s in ("published", "silent", "failed")], *[F.coalesce(F.sum(F.when(ok, F.col(c))), F.lit(0)).alias(c) for c in counters])
 
 
-NEAR, ALT = r"NEAR ([A-Z0-9]+)(?:/([a-z0-9_.]+))?", r"\[alt ([A-Z0-9]+)/([a-z0-9_.]+)"
-
-
 def near_misses(log: DataFrame, reason: str) -> DataFrame:
-    """``kind, name, n``: elements that reasons were near to (``element``), with a knob or without (``fixed``), second choices
-    (``alt``), and rows near each knob, one for each that a row names (``knob``)."""
-    at = lambda p, i: F.nullif(F.regexp_extract(F.coalesce(reason, F.lit("")), p, i), F.lit(""))
-    name = lambda kind, c: F.when(c.isNotNull(), F.struct(F.lit(kind).alias("kind"), c.alias("name")))
-    element, knob, other, alt = at(NEAR, 1), at(NEAR, 2), at(ALT, 1), at(ALT, 2)
-    full = F.concat_ws("/", element, knob)
-    parts = F.array(name("element", F.when(element.isNotNull(), full)), name("fixed", F.when(knob.isNull(), element)), name("alt", F.when(other.isNotNull(), F.concat_ws("/", other, alt))), name("knob", knob), name("knob", alt))
-    return log.select(F.explode(F.array_distinct(F.array_compact(parts))).alias("p")).groupBy("p.kind", "p.name").agg(F.count(F.lit(1)).alias("n"))
+    """``kind, name, n``: elements that reasons were near to, with their knob (``element``), those of no knob again (``fixed``), other
+    ways (``alt``), and rows near each knob, one for each that a row names (``knob``). The reasons' form is that of ``reasons.parsed``."""
+    p = F.col("_p")
+    name = lambda kind, c, when: F.when(when.isNotNull(), F.struct(F.lit(kind).alias("kind"), c.alias("name")))
+    parts = F.array(
+        name("element", F.concat_ws("/", p["element"], p["knob"]), p["element"]), name("fixed", p["element"], F.when(p["knob"].isNull(), p["element"])),
+        name("alt", F.concat_ws("/", p["alt_element"], p["alt_knob"]), p["alt_knob"]), name("knob", p["knob"], p["knob"]), name("knob", p["alt_knob"], p["alt_knob"]),
+    )
+    rows = log.select(reasons.parsed(F.col(reason)).alias("_p"))
+    return rows.select(F.explode(F.array_distinct(F.array_compact(parts))).alias("x")).groupBy("x.kind", "x.name").agg(F.count(F.lit(1)).alias("n"))
+
+
+def run_table(runs: DataFrame, log: DataFrame, key: str, status: str, survivors: str, counters: tuple[str, ...], mechanisms: str) -> DataFrame:
+    """A row for each run: its status and counters, ``items`` (the sum of its map ``mechanisms``), ``logged`` rows, ``stories`` among
+    them (members of clusters left out), those passed, and ``log_missing`` where it has survivors and no log."""
+    own = F.coalesce(F.col("dedup") != "cluster_merged", F.lit(True))
+    rows = log.groupBy(key).agg(F.count(F.lit(1)).alias("logged"), F.count_if(own).alias("stories"), F.count_if(own & (F.col("verdict") == "pass")).alias("passed"))
+    n = F.aggregate(F.map_values(mechanisms), F.lit(0).cast("long"), lambda a, x: a + x)
+    zero = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("logged", "stories", "passed")]
+    return runs.select(key, status, *counters, F.coalesce(n, F.lit(0)).alias("items"), survivors).join(rows, key, "left").select(key, status, *counters, "items", *zero, (F.col("logged").isNull() & (F.col(survivors) > 0)).alias("log_missing"))
+
+
+def archive_by_mechanism(runs: DataFrame, slot: str, mechanisms: str, items: DataFrame, at: str, mechanism: str, live: Column) -> DataFrame:
+    """``mechanism, claimed, archived``: what the runs say that they published, and live items of the archive at their slots."""
+    said = runs.select(F.explode(mechanisms).alias("mechanism", "n")).groupBy("mechanism").agg(F.sum("n").alias("claimed"))
+    kept = items.where(live).select(F.col(at).alias(slot), F.col(mechanism).alias("mechanism")).join(runs.select(slot).distinct(), slot, "left_semi")
+    both = said.join(kept.groupBy("mechanism").agg(F.count(F.lit(1)).alias("archived")), "mechanism", "full")
+    return both.select("mechanism", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("claimed", "archived")])
 
 
 def calibration_warnings(totals: DataFrame, share: Column, most_share: float = 0.4, most_pass: float = 0.25) -> DataFrame:

@@ -155,7 +155,7 @@ def ledger_violations(spark, sf_dir):
     return judging.ledger_checks(seen)
 
 
-@query("""WITH s AS (SELECT * FROM (VALUES ('de', 0), ('en', 1), ('es', 2), ('none', 3)) v(lang, ord)), j AS (SELECT lang, quality, doc_id FROM documents JOIN labels USING (doc_id) WHERE doc_id % 3 <> 0)
+@query("""WITH s AS (SELECT * FROM (VALUES ('de', 0), ('en', 1), ('es', 2), ('none', 3), ('fr', 4)) v(lang, ord)), j AS (SELECT lang, quality, doc_id FROM documents JOIN labels USING (doc_id) WHERE doc_id % 3 <> 0)
 SELECT s.lang, s.ord::INT AS ord, count(doc_id) AS tested, coalesce(count_if(quality = 1), 0) AS passed FROM s LEFT JOIN j ON j.lang = s.lang GROUP BY ALL""")
 def stage_two_by_section(spark, sf_dir):
     j = read(spark, sf_dir, "documents").select("doc_id", "lang").join(read(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id")
@@ -230,12 +230,12 @@ def calibration_warnings(spark, sf_dir):
     return readmodel.calibration_warnings(_totals(spark, sf_dir), readmodel.ratio(F.col("published"), F.col("published") + F.col("silent")))
 
 
-_REASONS = ["NEAR A2/k.one: close", "NEAR C3 (fixed)", "low [alt B1/k.two]", "NEAR A2/k.two and [alt B1/k.two]", "plain"]
+_REASONS = ["NEAR A2/k_one: close", "[M3] NEAR C3: none", "low [alt EV:B1f/k_two]", "NEAR R3f/k_two: so [alt CS:B1f/k_two]", "so NEAR A2/k_one: no [alt EV:B1]"]
 _REASON = "CASE doc_id % 5 " + " ".join(f"WHEN {i} THEN '{r}'" for i, r in enumerate(_REASONS)) + " END"
 
 
-@query("""WITH c AS (SELECT doc_id % 5 AS k, count(*) AS m FROM documents GROUP BY 1), x AS (SELECT * FROM (VALUES (0, 'element', 'A2/k.one'), (0, 'knob', 'k.one'), (1, 'element', 'C3'), (1, 'fixed', 'C3'), (2, 'alt', 'B1/k.two'),
-  (2, 'knob', 'k.two'), (3, 'element', 'A2/k.two'), (3, 'alt', 'B1/k.two'), (3, 'knob', 'k.two')) v(k, kind, name)) SELECT kind, name, sum(m)::BIGINT AS n FROM x JOIN c USING (k) GROUP BY ALL""")
+@query("""WITH c AS (SELECT doc_id % 5 AS k, count(*) AS m FROM documents GROUP BY 1), x AS (SELECT * FROM (VALUES (0, 'element', 'A2/k_one'), (0, 'knob', 'k_one'), (1, 'element', 'C3'), (1, 'fixed', 'C3'), (2, 'alt', 'B1f/k_two'),
+  (2, 'knob', 'k_two'), (3, 'element', 'R3f/k_two'), (3, 'alt', 'B1f/k_two'), (3, 'knob', 'k_two')) v(k, kind, name)) SELECT kind, name, sum(m)::BIGINT AS n FROM x JOIN c USING (k) GROUP BY ALL""")
 def near_misses(spark, sf_dir):
     log = read(spark, sf_dir, "documents").select(F.expr(_REASON).alias("reason"))
     return readmodel.near_misses(log, "reason")

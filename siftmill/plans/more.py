@@ -80,11 +80,13 @@ def profile_threshold_pass(spark, sf_dir):
 
 _SPACED = "trim(regexp_replace({}, '[ \\t\\n\\r]+', ' ', 'g'))"
 _TITLE = _SPACED.format("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")
-_H1 = _SPACED.format("regexp_replace(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g')")
-_OPENING = f"substr({_SPACED.format(f"regexp_replace(html, '{markup._HIDDEN}', ' ', 'g')")}, 1, 200)"
+_SAYS = "regexp_matches(lower({0}), '(?:page|article|document|content) (?:you (?:are|were) looking for )?(?:(?:was |could )?not (?:be )?found|does not exist|no longer (?:exists|available)|is (?:missing|gone|no longer available)|(?:has been|was) (?:removed|deleted|moved))|nothing (?:was )?found (?:at|on) this (?:address|location|page)')"
+_BRIEF = "(" + _SAYS + " OR (regexp_matches(lower({0}), '(?:^|[^0-9])404(?:[^0-9]|$)|^not found$') AND len(string_split({0}, ' ')) <= 6))"
+_HEADS = "list_transform(list_concat(regexp_extract_all(html, '(?is)<h1[^>]*>(.*?)</h1>', 1), regexp_extract_all(html, '(?is)<h2[^>]*>(.*?)</h2>', 1)), lambda h: trim(regexp_replace(regexp_replace(h, '<[^>]*>', '', 'g'), '[ \\t\\n\\r]+', ' ', 'g')))"
+_SEEN = _SPACED.format("regexp_replace(html, '(?is)<head>.*?</head>|<head .*?</head>|<script.*?</script>|<style.*?</style>|<[^>]*>', ' ', 'g')")
 
 
-@query("SELECT page_id, CASE " + " ".join(f"WHEN regexp_matches(lower({e}), '{markup.MISSING}') THEN '{n}'" for n, e in (("title", _TITLE), ("heading", _H1), ("opening", _OPENING))) + " END AS says_missing FROM pages")
+@query(f"SELECT page_id, CASE WHEN {_BRIEF.format(_TITLE)} THEN 'title' WHEN len(list_filter({_HEADS}, lambda h: {_BRIEF.format('h')})) > 0 THEN 'heading' WHEN {_SAYS.format(_SEEN)} THEN 'text' END AS says_missing FROM pages")
 def soft404_flags(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", markup.soft404(F.col("html")).alias("says_missing"))
 

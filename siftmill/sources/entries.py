@@ -25,10 +25,12 @@ def manual_entries(entries: DataFrame, registry: DataFrame, floor: Column) -> Da
 
 def extra_entries(entries: DataFrame, registry: DataFrame, known: DataFrame) -> DataFrame:
     """Addresses found by search (``url, headline``) as attachments: ``extra``, with the publication of the registered source of
-    the same site, else of the host; those that ``known`` (``candidate_id``) has already are left out."""
-    sites = registry.select(url.registrable(url.host(F.col("home"))).alias("site"), "publication", "source_class", "paywalled").dropDuplicates(["site"])
+    the same site (the least by id), else of the host; of addresses of one candidate the least stays; those that ``known`` (``candidate_id``) has already are left out."""
+    sites = registry.select(url.registrable(url.host(F.col("home"))).alias("site"), "source_id", "publication", "source_class", "paywalled")
+    sites = sites.groupBy("site").agg(F.min(F.struct("source_id", "publication", "source_class", "paywalled")).alias("s")).select("site", "s.publication", "s.source_class", "s.paywalled")
     e = entries.withColumns({"candidate_id": url.candidate_id(F.col("url")), "site": url.registrable(url.host(F.col("url")))})
-    e = e.where("candidate_id IS NOT NULL").dropDuplicates(["candidate_id"]).join(known.select("candidate_id"), "candidate_id", "left_anti").join(sites, "site", "left")
+    first = F.min(F.struct("url", *[c for c in e.columns if c not in ("candidate_id", "url")])).alias("e")
+    e = e.where("candidate_id IS NOT NULL").groupBy("candidate_id").agg(first).select("candidate_id", "e.*").join(known.select("candidate_id"), "candidate_id", "left_anti").join(sites, "site", "left")
     return e.withColumns({"publication": F.coalesce("publication", url.host(F.col("url"))), "paywalled": F.coalesce("paywalled", F.lit(False)), "extra": F.lit(True)}).drop("site")
 
 

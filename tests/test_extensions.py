@@ -27,7 +27,7 @@ def test_markup(spark):
     assert one(spark, "<meta http-equiv=refresh content='0; url=/next'>", markup.refresh_target) == "/next"
     assert [one(spark, m, markup.content_kind) for m in ("Text/HTML; charset=x", "application/ld+json", "image/png", "")] == ["html", "json", "other", None]
     soft = [one(spark, f"<title>{t}</title><h1>{h}</h1><p>{p}</p>", markup.soft404) for t, h, p in (("Page not found", "", ""), ("x", "Error 404", ""), ("x", "y", "This article was removed"), ("1404 x", "y", "z"))]
-    assert soft == ["title", "heading", "opening", None]
+    assert soft == ["title", "heading", "text", None]
 
 
 def test_addresses(spark):

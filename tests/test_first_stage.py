@@ -163,5 +163,5 @@ def test_hints_and_near(spark):
     pairs = spark.createDataFrame([(1, 2, 0.6, "likely"), (1, 4, 0.9, "likely"), (1, 3, 0.7, "likely"), (3, 5, 0.4, "possible")], "a long, b long, score double, level string")
     got = {r["id"]: (r["cluster"], [m["id"] for m in r["archive_matches"] or []], [m["id"] for m in r["candidate_matches"] or []]) for r in similar.hints(s, pairs, "id", k=1).collect()}
     assert got == {1: ("k1", [4], [3]), 3: ("k1", [], [1, 5]), 5: (None, [], [3])}
-    log = spark.createDataFrame([("NEAR B2/k.a [alt C1/k.a]",), ("NEAR D",), (None,)], "reason string")
-    assert {tuple(r) for r in readmodel.near_misses(log, "reason").collect()} == {("element", "B2/k.a", 1), ("alt", "C1/k.a", 1), ("knob", "k.a", 1), ("element", "D", 1), ("fixed", "D", 1)}
+    log = spark.createDataFrame([("NEAR B2/k_a: x [alt EV:C1/k_a]",), ("[M2] NEAR D3f: y",), (None,), ("it was NEAR D: no",), ("x [alt EV:C1/k_a] more",)], "reason string")
+    assert {tuple(r) for r in readmodel.near_misses(log, "reason").collect()} == {("element", "B2/k_a", 1), ("alt", "C1/k_a", 1), ("knob", "k_a", 1), ("element", "D3f", 1), ("fixed", "D3f", 1)}
