@@ -21,6 +21,42 @@ def facets(df: DataFrame, chosen: dict[str, list]) -> DataFrame:
     return df.select(F.explode(F.array_compact(F.array(*per))).alias("f")).groupBy("f.facet", "f.value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def with_failed(df: DataFrame, chosen: dict[str, list], name: str = "failed") -> DataFrame:
+    """Adds ``name``, a mask with bit ``i`` set where filter ``i`` (in the order of ``chosen``) fails. A list passes if it shares a value
+    with those chosen, a single value if it is one of them; nothing chosen passes all, null passes nothing else."""
+    def ok(c: str, values: list) -> Column:
+        if not values:
+            return F.lit(True)
+        if df.schema[c].dataType.typeName() == "array":
+            return F.coalesce(F.arrays_overlap(c, F.array(*map(F.lit, values))), F.lit(False))
+        return F.coalesce(F.col(c).isin(*values), F.lit(False))
+
+    bits = [F.when(ok(c, v), 0).otherwise(1 << i) for i, (c, v) in enumerate(chosen.items())]
+    return df.withColumn(name, reduce(lambda a, b: a.bitwiseOR(b), bits, F.lit(0)))
+
+
+def list_view(df: DataFrame, chosen: dict[str, list], section: str) -> DataFrame:
+    """``kind, name, value, n`` of a filtered list, in one pass over its rows.
+
+    ``facet``: rows that pass all filters but the facet's own, by its values (a row counts once for each value of a list).
+    ``section``: rows shown (``value`` shown) or hidden by the filters (``hidden``). ``only``: rows that fail one filter alone, by its name:
+    what dropping it would bring back. ``total``: rows shown."""
+    names = list(chosen)
+    df = with_failed(df, chosen, "_failed")
+    failed = F.col("_failed")
+    entry = lambda kind, name, value: F.struct(F.lit(kind).alias("kind"), name.cast("string").alias("name"), value.cast("string").alias("value"))
+    none = F.array().cast("array<struct<kind: string, name: string, value: string>>")
+    parts = []
+    for i, c in enumerate(names):
+        many = df.schema[c].dataType.typeName() == "array"
+        values = F.array_distinct(F.coalesce(F.col(c), F.array().cast(df.schema[c].dataType))) if many else F.array(F.col(c))
+        own = F.transform(values, (lambda name: lambda v: entry("facet", F.lit(name), v))(c))
+        parts += [F.when(failed.bitwiseAND(F.lit(~(1 << i))) == 0, own).otherwise(none), F.when(failed == (1 << i), F.array(entry("only", F.lit(c), F.lit(None)))).otherwise(none)]
+    shown = F.when(failed == 0, "shown").otherwise("hidden")
+    parts += [F.array(entry("section", F.col(section), shown)), F.when(failed == 0, F.array(entry("total", F.lit(None), F.lit(None)))).otherwise(none)]
+    return df.select(F.explode(F.concat(*parts)).alias("x")).groupBy("x.kind", "x.name", "x.value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def windows(df: DataFrame, ts: str, now: Column, spans: dict[str, int], by: str) -> DataFrame:
     """``span, by, n``: rows at or after ``now`` less each span of hours, with no upper end. A row is counted in every span that holds it."""
     inside = F.array_compact(F.array(*[F.when(F.col(ts) >= now - F.make_dt_interval(F.lit(0), F.lit(h)), F.lit(n)) for n, h in spans.items()]))
