@@ -13,14 +13,15 @@ from siftmill.session import checkpointing
 LEVELS = (("likely", 0.55), ("possible", 0.35))
 
 
-def jaccard_pairs(df: DataFrame, key: str, tokens: str, least: float) -> DataFrame:
-    """``a, b, jaccard`` (a < b) for all pairs of token sets at ``least`` or more.
+def jaccard_links(df: DataFrame, key: str, tokens: str, least: float) -> tuple[DataFrame, DataFrame]:
+    """Members ``key, rep`` of equal token sets, and pairs ``a, b, jaccard`` (a < b, unrounded) of representatives (the smallest keys) at
+    ``least`` or more. Copies are rows of the members, never pairs; rows without tokens are left out.
 
     Prefix filter: tokens are ordered from rare to common, and a pair that is near enough shares one of each side's
     first ``size - ceil(least * size) + 1``; so the join is on few rare tokens and loses no pair. The number of these that
-    they share bounds their intersection; only pairs that can still be near enough are compared whole. Equal sets are
-    joined as one, and expanded at the end."""
-    sets = df.where(F.size(tokens) > 0).groupBy(F.col(tokens).alias("t")).agg(F.min(key).alias("rep"), F.collect_list(key).alias("ids"))
+    they share bounds their intersection; only pairs that can still be near enough are compared whole."""
+    sets = df.where(F.size(tokens) > 0).groupBy(F.col(tokens).alias("t")).agg(F.min(key).alias("rep"))
+    members = df.where(F.size(tokens) > 0).select(F.col(key).alias("_key"), F.col(tokens).alias("t")).join(sets, "t").select(F.col("_key").alias(key), "rep")
     use = sets.select("rep", F.size("t").alias("n"), F.explode("t").alias("w"))
     freq = use.groupBy("w").agg(F.count(F.lit(1)).alias("f"))
     ranked = use.join(freq, "w").withColumn("k", F.row_number().over(Window.partitionBy("rep").orderBy("f", "w")))
@@ -31,11 +32,19 @@ def jaccard_pairs(df: DataFrame, key: str, tokens: str, least: float) -> DataFra
     rest = F.ceil(F.greatest("na", "nb") * F.lit(least) - 1e-9) - 1
     near = near.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("c"))
     near = near.where(F.col("c") + rest >= (F.col("na") + F.col("nb")) * (least / (1 + least)) - 1e-6).select("a", "b")
-    one, two = sets.select(F.col("rep").alias("a"), F.col("t").alias("ta"), F.col("ids").alias("ia")), sets.select(F.col("rep").alias("b"), F.col("t").alias("tb"), F.col("ids").alias("ib"))
+    one, two = sets.select(F.col("rep").alias("a"), F.col("t").alias("ta")), sets.select(F.col("rep").alias("b"), F.col("t").alias("tb"))
     both = F.size(F.array_intersect("ta", "tb"))
-    found = near.join(one, "a").join(two, "b").withColumn("j", both / (F.size("ta") + F.size("tb") - both)).where(F.col("j") >= least)
-    across = found.select(F.explode("ia").alias("x"), "ib", "j").select("x", F.explode("ib").alias("y"), "j")
-    inside = sets.where(F.size("ids") > 1).select(F.explode("ids").alias("x"), "ids").select("x", F.explode("ids").alias("y"), F.lit(1.0).alias("j")).where("x < y")
+    found = near.join(one, "a").join(two, "b").withColumn("jaccard", both / (F.size("ta") + F.size("tb") - both)).where(F.col("jaccard") >= least)
+    return members, found.select("a", "b", "jaccard")
+
+
+def jaccard_pairs(df: DataFrame, key: str, tokens: str, least: float) -> DataFrame:
+    """``a, b, jaccard`` (a < b) for all pairs of token sets at ``least`` or more, copies expanded: the square of a group of copies. For
+    large groups read ``jaccard_links``."""
+    members, links = jaccard_links(df, key, tokens, least)
+    m = members.select(F.col(key).alias("x"), "rep")
+    across = links.join(m.toDF("x", "a"), "a").join(m.toDF("y", "b"), "b").select("x", "y", F.col("jaccard").alias("j"))
+    inside = m.join(m.withColumnRenamed("x", "y"), "rep").where("x < y").select("x", "y", F.lit(1.0).alias("j"))
     pairs = across.unionByName(inside)
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), half_up(F.col("j"), 2).alias("jaccard"))
 
@@ -45,10 +54,11 @@ def scored_pairs(df: DataFrame, key: str) -> DataFrame:
     ``tokens, proper, figures, cves``.
 
     What shares no name, figure or identifier scores its Jaccard, rounded: so candidates are the pairs at 0.345 and those
-    that share one of these, and no pair is lost. A name that very many rows have gives the square of their number."""
+    that share one of these, and no pair is lost. A name that very many rows have gives the square of their number, and copies are
+    expanded; ``stories.linked`` does neither."""
     marked = lambda c: F.transform(c, lambda x: F.concat(F.lit(f"{c}:"), x))
-    use = df.select(key, F.explode(F.concat(*map(marked, ("proper", "figures", "cves")))).alias("k"))
-    shared = use.withColumnRenamed(key, "a").join(use.withColumnRenamed(key, "b"), "k").where("a < b").select("a", "b").distinct()
+    use = df.select(F.col(key).alias("_key"), F.explode(F.concat(*map(marked, ("proper", "figures", "cves")))).alias("_met"))
+    shared = use.withColumnRenamed("_key", "a").join(use.withColumnRenamed("_key", "b"), "_met").where("a < b").select("a", "b").distinct()
     pairs = jaccard_pairs(df, key, "tokens", LEVELS[1][1] - 0.005).select("a", "b").union(shared).distinct()
     side = lambda name: df.select(F.col(key).alias(name), F.struct("tokens", "proper", "figures", "cves").alias(f"{name}s"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")

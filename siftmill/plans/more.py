@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from siftmill.functions import dates, extract, markup, text, url
 from siftmill.functions.text import half_up
-from siftmill.operators import backfill, checks, lexicon, publish, readmodel, score, similar, state
+from siftmill.operators import backfill, checks, lexicon, publish, readmodel, score, similar, state, stories
 from siftmill.plans.queries import _ET, _HOST, _J, _PAIR, _PARAMS, _SLOT, _scored, candidates, judgments, likely_pairs, query, read
 from siftmill.plans.stories import FIGURES
 from siftmill.session import checkpointing
@@ -38,9 +38,11 @@ def shared_number_bonus(spark, sf_dir):
 
 @query()
 def scored_pairs(spark, sf_dir):
+    """Possible and likely pairs of whole documents, between representatives of copies."""
     t = F.col("text")
-    d = read(spark, sf_dir, "documents").select("doc_id", text.tokens(t).alias("tokens"), extract.proper_nouns(t).alias("proper"), extract.numbers(t).alias("figures"), extract.cves(t).alias("cves"))
-    return similar.scored_pairs(d, "doc_id")
+    words = F.filter(F.array(text.tokens(t)), lambda x: F.size(x) > 0)
+    d = read(spark, sf_dir, "documents").select("doc_id", words.alias("variants"), extract.proper_nouns(t).alias("names"), extract.numbers(t).alias("figures"), extract.cves(t).alias("cves"), F.array().cast("array<string>").alias("urls"))
+    return stories.linked(d, "doc_id").pairs
 
 
 @query(f"SELECT conv_id, turn, lower(regexp_extract(coalesce(text, ''), '{extract._SPEAKER}', 1)) AS word FROM conversations")

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftmill.functions import dates, text, url
-from siftmill.operators import checks, readmodel, score, similar, state
+from siftmill.functions.text import half_up
+from siftmill.operators import checks, readmodel, score, similar, state, stories
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -335,6 +336,11 @@ _TOK = "t AS (SELECT doc_id, list_distinct(list_filter(regexp_split_to_array(low
 _PAIR = f"WITH RECURSIVE {_TOK}, u AS (SELECT doc_id, len(w) AS n, unnest(w) AS x FROM t), i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k, any_value(a.n) AS na, any_value(b.n) AS nb FROM u a JOIN u b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2), p AS (SELECT a, b, floor(k / (na + nb - k) * 100 + 0.5) / 100 AS jaccard FROM i WHERE k / (na + nb - k) >= 0.55)"
 
 
+def likely_links(spark, sf_dir):
+    d = read(spark, sf_dir, "documents").select("doc_id", text.tokens(F.col("text")).alias("tokens"))
+    return similar.jaccard_links(d, "doc_id", "tokens", 0.55)
+
+
 def likely_pairs(spark, sf_dir):
     d = read(spark, sf_dir, "documents").select("doc_id", text.tokens(F.col("text")).alias("tokens"))
     return similar.jaccard_pairs(d, "doc_id", "tokens", 0.55)
@@ -347,7 +353,8 @@ def pair_jaccard_likely(spark, sf_dir):
 
 @query(_PAIR + ", e AS (SELECT a, b FROM p UNION SELECT b, a FROM p), r AS (SELECT a AS node, b AS m FROM e UNION SELECT r.node, e.b FROM r JOIN e ON r.m = e.a) SELECT node, least(node, min(m)) AS root FROM r GROUP BY node")
 def components(spark, sf_dir):
-    return similar.clusters(likely_pairs(spark, sf_dir))
+    members, links = likely_links(spark, sf_dir)
+    return similar.clusters(links.select("a", "b").union(members.where("doc_id != rep")))
 
 
 @query(_PAIR + " SELECT a, b, jaccard, rank FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY jaccard DESC, b) AS rank FROM p) WHERE rank <= 5")
@@ -357,4 +364,21 @@ def topk_matches(spark, sf_dir):
 
 @query(_PAIR + ", e AS (SELECT * FROM p UNION ALL SELECT b, a, jaccard FROM p) SELECT a, b, jaccard, rank FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY jaccard DESC, b) AS rank FROM e) WHERE rank <= 5")
 def topk_matches_both_ways(spark, sf_dir):
-    return readmodel.top_k(similar.both_ways(likely_pairs(spark, sf_dir)), "a", [F.desc("jaccard"), F.col("b")], 5)
+    members, links = likely_links(spark, sf_dir)
+    members = members.withColumns({"copies": F.lit(None).cast("long"), "score": F.lit(1.0), "level": F.lit("likely")})
+    pairs = links.select("a", "b", half_up(F.col("jaccard"), 2).alias("score"), F.lit("likely").alias("level"))
+    none = members.limit(0).select(F.lit("").alias("address"), "doc_id")
+    best = stories.best_matches(stories.Links(members, pairs, none), "doc_id", 5)
+    return best.select(F.col("doc_id").alias("a"), F.col("match").alias("b"), F.col("score").alias("jaccard"), "rank")
+
+
+@query(_PAIR.replace("p AS (", "g AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY list_sort(w)) AS rep FROM t WHERE len(w) > 0), p AS (") + " SELECT * FROM p WHERE a IN (SELECT rep FROM g) AND b IN (SELECT rep FROM g)")
+def representative_pairs(spark, sf_dir):
+    """The likely pairs between representatives of equal token sets, without their copies."""
+    _, links = likely_links(spark, sf_dir)
+    return links.select("a", "b", half_up(F.col("jaccard"), 2).alias("jaccard"))
+
+
+@query(f"WITH {_TOK} SELECT doc_id, min(doc_id) OVER (PARTITION BY list_sort(w)) AS rep FROM t WHERE len(w) > 0")
+def representatives(spark, sf_dir):
+    return likely_links(spark, sf_dir)[0]
