@@ -6,7 +6,7 @@ import hashlib
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -159,18 +159,22 @@ def damaged(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     return own.where("f != 0").select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(times).alias("_copy")).drop("_copy")
 
 
+def digest_of() -> Column:
+    return F.unhex(F.sha2(F.concat(F.octet_length("role").cast("string"), F.lit(":"), "role", "text"), 256))
+
+
 def judged(rows: DataFrame) -> DataFrame:
-    """``conv_id, turn, role, text`` -> also ``n`` (place in the conversation, by turn, nulls first, then role and a digest of
-    role and text) and ``letter`` (its initial and first fault)."""
-    digest = F.unhex(F.sha2(F.concat(F.octet_length("role").cast("string"), F.lit(":"), "role", "text"), 256))
-    at = positions(rows.withColumn("digest", digest), ["conv_id"], ["turn", "role", "digest"])
-    at = staged(at)
-    first = staged(at.groupBy("conv_id", "digest").agg(F.min("n").alias("first")))
+    """``conv_id, turn, role, text`` -> ``conv_id, turn, n`` (place in the conversation, by turn, nulls first, then role and a digest of role
+    and text) and ``letter`` (its initial and first fault). Texts stay where they lie: their last sign and digest go along."""
     last = F.substring(F.rtrim(F.col("text"), F.lit(" \t\n\x0b\x0c\r")), -1, 1)
-    fault = F.when(last == "", 1).when(F.col("n") > F.col("first"), 2).when(~last.isin(".", "!", "?"), 3).otherwise(0)
+    own = F.when(last == "", 1).when(~last.isin(".", "!", "?"), 3).otherwise(0)
+    lean = rows.select("conv_id", "turn", "role", digest_of().alias("digest"), own.alias("own"))
+    at = staged(positions(lean, ["conv_id"], ["turn", "role", "digest"]))
+    again = at.where("own != 1").groupBy("conv_id", "digest").agg(F.min("n").alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1").drop("times")
+    fault = F.when((F.col("own") != 1) & (F.col("n") > F.col("first")), 2).otherwise(F.col("own"))
     c = F.substring("role", 1, 1)
     initial = F.when(c == "s", 0).when(c == "u", 1).when(c == "a", 2).otherwise(3)
-    return at.join(first, ["conv_id", "digest"]).select("conv_id", "turn", "role", "text", "n", F.chr(65 + initial * 4 + fault).alias("letter"))
+    return at.join(staged(again), ["conv_id", "digest"], "left").select("conv_id", "turn", "n", F.chr(65 + initial * 4 + fault).alias("letter"))
 
 
 def repaired(rows: DataFrame, ids: DataFrame, block: int = BLOCK, keep: bool = False) -> DataFrame:
@@ -186,7 +190,7 @@ def repaired(rows: DataFrame, ids: DataFrame, block: int = BLOCK, keep: bool = F
     Places, faults and counts are computed in the DataFrame, so a conversation of any length is dealt to many tasks. Rows become
     letters; up to ``block`` of them are solved at once. A longer conversation is joined up from its blocks' four-by-four tables (costs, and ranks
     of audits), which fixes the states between blocks; then each block is solved alone. The digest streams the rows of a
-    conversation, one at a time."""
+    conversation, one at a time, beside its edits: the one place where texts are shuffled."""
     marked = staged(judged(rows))
     size = F.lit(block).cast("long")
     parts = marked.groupBy("conv_id", F.floor(F.col("n") / size).cast("long").alias("block")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "letter"))), lambda x: x["letter"]), "").alias("letters"))
@@ -236,13 +240,13 @@ def repaired(rows: DataFrame, ids: DataFrame, block: int = BLOCK, keep: bool = F
         for b in batches:
             done = []
             for c, own, role, text in zip(*(b[x].to_pylist() for x in ("conv_id", "edits", "role", "text")), strict=True):
-                if own is not None:  # a block begins
-                    inserts()
+                if own is not None:  # edits of a block; all of a conversation's come before its rows
                     if c != conv:
                         if conv is not None:
+                            inserts()
                             done.append((conv, sha.hexdigest()))
-                        conv, sha, some = c, hashlib.sha256(), False
-                    edits, at = own, 0
+                        conv, sha, edits, at, some = c, hashlib.sha256(), "", 0, False
+                    edits += own
                     continue
                 inserts()
                 edit = edits[at]
@@ -254,9 +258,11 @@ def repaired(rows: DataFrame, ids: DataFrame, block: int = BLOCK, keep: bool = F
             inserts()
             yield pa.RecordBatch.from_arrays([pa.array([conv], pa.int64()), pa.array([sha.hexdigest()], pa.string())], names)
 
-    heads = solved.select("conv_id", "block", F.lit(-1).cast("long").alias("n"), "edits", F.lit(None).cast("string").alias("role"), F.lit(None).cast("string").alias("text"))
-    texts = marked.select("conv_id", F.floor(F.col("n") / size).cast("long").alias("block"), "n", F.lit(None).cast("string").alias("edits"), "role", "text")
-    shas = heads.union(texts).repartition("conv_id").sortWithinPartitions("conv_id", "block", "n").drop("block", "n").mapInArrow(digest, "conv_id long, repaired_sha256 string")
+    null = lambda c: F.lit(None).cast(rows.schema[c].dataType).alias(c)
+    heads = solved.select("conv_id", F.lit(0).alias("kind"), "block", null("turn"), null("role"), F.lit(None).cast("binary").alias("digest"), "edits", null("text"))
+    texts = rows.select("conv_id", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("block"), "turn", "role", digest_of().alias("digest"), F.lit(None).cast("string").alias("edits"), "text")
+    by = ["conv_id", "kind", "block", "turn", "role", "digest"]
+    shas = heads.union(texts).repartition("conv_id").sortWithinPartitions(*by).select("conv_id", "edits", "role", "text").mapInArrow(digest, "conv_id long, repaired_sha256 string")
 
     # counts: of a block's letters, and of what meets between blocks
     initial = lambda x: F.translate(x, "ABCDEFGHIJKLMNOP", "ssssuuuuaaaaoooo")
