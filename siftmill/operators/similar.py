@@ -13,15 +13,13 @@ from siftmill.session import checkpointing
 LEVELS = (("likely", 0.55), ("possible", 0.35))
 
 
-def jaccard_links(df: DataFrame, key: str, tokens: str, least: float) -> tuple[DataFrame, DataFrame]:
-    """Members ``key, rep`` of equal token sets, and pairs ``a, b, jaccard`` (a < b, unrounded) of representatives (the smallest keys) at
-    ``least`` or more. Copies are rows of the members, never pairs; rows without tokens are left out.
+def near_sets(sets: DataFrame, least: float) -> DataFrame:
+    """Pairs ``a, b, j`` (``rep`` of two sets ``t``, a < b) with a Jaccard of ``least`` or more; other columns of ``sets`` come along, named after
+    their side.
 
     Prefix filter: tokens are ordered from rare to common, and a pair that is near enough shares one of each side's
     first ``size - ceil(least * size) + 1``; so the join is on few rare tokens and loses no pair. The number of these that
     they share bounds their intersection; only pairs that can still be near enough are compared whole."""
-    sets = df.where(F.size(tokens) > 0).groupBy(F.col(tokens).alias("t")).agg(F.min(key).alias("rep"))
-    members = df.where(F.size(tokens) > 0).select(F.col(key).alias("_key"), F.col(tokens).alias("t")).join(sets, "t").select(F.col("_key").alias(key), "rep")
     use = sets.select("rep", F.size("t").alias("n"), F.explode("t").alias("w"))
     freq = use.groupBy("w").agg(F.count(F.lit(1)).alias("f"))
     ranked = use.join(freq, "w").withColumn("k", F.row_number().over(Window.partitionBy("rep").orderBy("f", "w")))
@@ -32,19 +30,27 @@ def jaccard_links(df: DataFrame, key: str, tokens: str, least: float) -> tuple[D
     rest = F.ceil(F.greatest("na", "nb") * F.lit(least) - 1e-9) - 1
     near = near.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("c"))
     near = near.where(F.col("c") + rest >= (F.col("na") + F.col("nb")) * (least / (1 + least)) - 1e-6).select("a", "b")
-    one, two = sets.select(F.col("rep").alias("a"), F.col("t").alias("ta")), sets.select(F.col("rep").alias("b"), F.col("t").alias("tb"))
+    more = [c for c in sets.columns if c not in ("rep", "t")]
+    one, two = (sets.select(F.col("rep").alias(x), F.col("t").alias(f"t{x}"), *[F.col(c).alias(f"{c}_{x}") for c in more]) for x in "ab")
     both = F.size(F.array_intersect("ta", "tb"))
-    found = near.join(one, "a").join(two, "b").withColumn("jaccard", both / (F.size("ta") + F.size("tb") - both)).where(F.col("jaccard") >= least)
-    return members, found.select("a", "b", "jaccard")
+    found = near.join(one, "a").join(two, "b").withColumn("j", both / (F.size("ta") + F.size("tb") - both)).where(F.col("j") >= least)
+    return found.drop("ta", "tb")
+
+
+def jaccard_links(df: DataFrame, key: str, tokens: str, least: float) -> tuple[DataFrame, DataFrame]:
+    """Members ``key, rep`` of equal token sets, and pairs ``a, b, jaccard`` (a < b, unrounded) of representatives (the smallest keys) at
+    ``least`` or more. Copies are rows of the members, never pairs; rows without tokens are left out."""
+    rows = df.where(F.size(tokens) > 0).select(F.col(key).alias("_key"), F.array_sort(tokens).alias("t"), F.sha2(F.array_join(F.array_sort(tokens), "\x1f"), 256).alias("_sig"))
+    members = rows.select("_key", "_sig").join(rows.groupBy("_sig").agg(F.min("_key").alias("rep")), "_sig").select(F.col("_key").alias(key), "rep")
+    return members, near_sets(rows.groupBy("t").agg(F.min("_key").alias("rep")), least).withColumnRenamed("j", "jaccard")
 
 
 def jaccard_pairs(df: DataFrame, key: str, tokens: str, least: float) -> DataFrame:
-    """``a, b, jaccard`` (a < b) for all pairs of token sets at ``least`` or more, copies expanded: the square of a group of copies. For
-    large groups read ``jaccard_links``."""
-    members, links = jaccard_links(df, key, tokens, least)
-    m = members.select(F.col(key).alias("x"), "rep")
-    across = links.join(m.toDF("x", "a"), "a").join(m.toDF("y", "b"), "b").select("x", "y", F.col("jaccard").alias("j"))
-    inside = m.join(m.withColumnRenamed("x", "y"), "rep").where("x < y").select("x", "y", F.lit(1.0).alias("j"))
+    """``a, b, jaccard`` (a < b) for all pairs of token sets at ``least`` or more, copies expanded: the square of a group of copies, whose
+    keys are one list. For large groups read ``jaccard_links``."""
+    sets = df.where(F.size(tokens) > 0).groupBy(F.col(tokens).alias("t")).agg(F.min(key).alias("rep"), F.collect_list(key).alias("ids"))
+    across = near_sets(sets, least).select(F.explode("ids_a").alias("x"), "ids_b", "j").select("x", F.explode("ids_b").alias("y"), "j")
+    inside = sets.where(F.size("ids") > 1).select(F.explode("ids").alias("x"), "ids").select("x", F.explode("ids").alias("y"), F.lit(1.0).alias("j")).where("x < y")
     pairs = across.unionByName(inside)
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), half_up(F.col("j"), 2).alias("jaccard"))
 
