@@ -6,6 +6,7 @@ from collections import Counter
 import duckdb
 import pytest
 
+import siftmill.plans.archives  # noqa: F401
 import siftmill.plans.judged  # noqa: F401
 import siftmill.plans.more  # noqa: F401
 import siftmill.plans.records  # noqa: F401
