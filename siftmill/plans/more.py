@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from siftmill.functions import dates, extract, markup, text, url
 from siftmill.functions.text import half_up
-from siftmill.operators import backfill, checks, lexicon, publish, readmodel, score, similar, state, stories
-from siftmill.plans.queries import _ET, _HOST, _J, _PAIR, _PARAMS, _SLOT, _scored, candidates, judgments, likely_pairs, query, read
+from siftmill.operators import backfill, checks, lexicon, prefilter, publish, readmodel, similar, state, stories
+from siftmill.plans.queries import _ET, _HOST, _J, _PAIR, _PARAMS, _SLOT, _SCORED, RULES, candidates, judgments, likely_pairs, profiled, query, read
 from siftmill.plans.stories import FIGURES
 from siftmill.session import checkpointing
 from siftmill.streaming import ledger
@@ -70,11 +70,10 @@ def search_documents(spark, sf_dir):
     return d.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(_scored() + ", q AS (SELECT doc_id, CASE WHEN source IS NULL THEN 'lenient' WHEN length(source) % 2 = 0 THEN 'strict' ELSE 'standard' END AS profile, score FROM r) SELECT doc_id, profile, score >= CASE profile WHEN 'strict' THEN 4.0 WHEN 'standard' THEN 3.0 ELSE 2.0 END AS passed FROM q")
+@query(_SCORED + " SELECT doc_id, profile, score >= CASE profile WHEN 'strict' THEN 4.0 WHEN 'standard' THEN 3.0 ELSE 2.0 END AS passed FROM r")
 def profile_threshold_pass(spark, sf_dir):
-    profile = F.when(F.col("source").isNull(), "lenient").when(F.length("source") % 2 == 0, "strict").otherwise("standard")
-    s = score.components(candidates(spark, sf_dir)).select("doc_id", profile.alias("profile"), "score")
-    least = F.when(F.col("profile") == "strict", 4.0).when(F.col("profile") == "standard", 3.0).otherwise(2.0)
+    s = prefilter.scores(profiled(spark, sf_dir), RULES)
+    least = F.coalesce(*[F.when(F.col("profile") == n, p.threshold) for n, p in RULES.profiles.items()])
     return s.select("doc_id", "profile", (F.col("score") >= least).alias("passed"))
 
 
