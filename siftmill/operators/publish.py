@@ -16,6 +16,19 @@ def offset_ids(new: DataFrame, old: DataFrame, stem: str, number: str, order: li
     return out.withColumn("item_id", F.concat(stem, F.lit("-"), F.when(F.length(F.col(number).cast("string")) < 2, F.lpad(F.col(number).cast("string"), 2, "0")).otherwise(F.col(number).cast("string"))))
 
 
+def final_items(drafts: DataFrame, unexplained: str = "awareness_only") -> DataFrame:
+    """Drafts with ``item_id, timestamp`` as archive items, fields in the archive's order, ``candidate_ids`` and whatever else they carry left out.
+    Items of the mechanism ``unexplained`` have a rationale in place of a question and an issue, all others the reverse; sources and
+    interpretations keep their fields alone. Nulls stay null; ``backfilled`` is false."""
+    c, aware = F.col, F.coalesce(F.col("mechanism") == unexplained, F.lit(False))
+    only = lambda name, *fields: F.transform(name, lambda x: F.struct(*[x[f].alias(f) for f in fields])).alias(name)
+    return drafts.select(
+        c("item_id"), "timestamp", "section", "claim", "domains", "source_class", "mechanism", only("interpretation", "domain", "text"), F.when(~aware, c("validation_question")).alias("validation_question"),
+        F.when(~aware, c("candidate_issue_statement")).alias("candidate_issue_statement"), F.when(aware, c("awareness_rationale")).alias("awareness_rationale"),
+        only("sources", "publication", "url", "headline", "published", "source_class"), F.lit(False).alias("backfilled"), "update_of",
+    )
+
+
 def log_rows(survivors: DataFrame, judgments: DataFrame, key: str) -> DataFrame:
     """Every survivor with its judgment; ``verdict`` is ``unjudged`` without one."""
     return survivors.join(judgments, key, "left").withColumn("verdict", F.coalesce("verdict", F.lit("unjudged")))

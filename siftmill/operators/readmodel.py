@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from siftmill.functions import reasons
+from siftmill.functions import dates, reasons
 from siftmill.functions.text import half_up
 
 
@@ -102,6 +102,17 @@ def shares(df: DataFrame, by: list[str], value: str, above: float, least: int =
     return n.join(total, by).where((F.col("n") >= least) & (F.col("n") > F.col("total") * above)).withColumn("share", ratio(F.col("n"), F.col("total")))
 
 
+def runs_between(runs: DataFrame, key: str, since: Column, until: Column) -> DataFrame:
+    """Runs whose id is a slot from ``since`` to ``until``, both included; a null end is open. Rows with any other id are left out."""
+    at = dates.slot_instant(F.col(key))
+    return runs.where(at.isNotNull() & F.coalesce(at >= since, F.lit(True)) & F.coalesce(at <= until, F.lit(True)))
+
+
+def recent_archive(items: DataFrame, at: str, now: Column, days: int = 21) -> DataFrame:
+    """Items of the last ``days`` days and of the day ahead, both ends included; an item without a time is none of them."""
+    return items.where((F.col(at) >= now - F.make_dt_interval(F.lit(days))) & (F.col(at) <= now + F.make_dt_interval(F.lit(1))))
+
+
 def latest_at(df: DataFrame, order: str, *times: str) -> DataFrame:
     """One row ``as_of``: the first known time of the latest run."""
     return df.agg(F.max_by(F.coalesce(*times), F.col(order)).alias("as_of"))

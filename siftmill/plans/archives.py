@@ -1,4 +1,4 @@
-"""Registered queries of archives: paged answers that Spark records from the given documents, agencies of a registry, records of documents."""
+"""Registered queries of archives: paged answers that Spark records from the given documents, agencies, records, entries for the past, items and ranges."""
 
 from __future__ import annotations
 
@@ -7,9 +7,10 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from siftmill.operators import publish, readmodel
 from siftmill.plans.queries import query, read
 from siftmill.session import checkpointing
-from siftmill.sources import paged
+from siftmill.sources import entries, paged
 
 BASE, HOSTS = "https://rules.test/api", r"^rules\.test$"
 
@@ -94,3 +95,60 @@ def record_problems(spark, sf_dir):
     doc = F.to_json(F.struct(html.alias("html_url"), F.when(k % 10 == 3, "2026-x").otherwise(number).alias("document_number"), F.when(k % 10 == 4, "soon").otherwise(day(28)).alias("publication_date"), "text"))
     body = F.when(k % 11 == 0, F.concat(F.lit("["), doc, F.lit("]"))).otherwise(doc)
     return read(spark, sf_dir, "documents").select("doc_id", paged.record_problem(at(number), body, day(27).cast("date")).alias("problem"))
+
+
+# ---- entries for the past, items as archived, ranges
+
+
+def past_rows(spark, sf_dir):
+    """Documents as entries for January 2026, with faults by id, and a registry that has some of their hosts, one behind a paywall."""
+    k = F.col("doc_id")
+    rows = read(spark, sf_dir, "documents").select(
+        "doc_id", F.concat(F.when(k % 29 == 0, "http://").otherwise("https://"), F.when(k % 4 == 0, "sub.").otherwise(""), F.concat(F.lit("n"), (k % 5).cast("string")), F.lit(".test/"), k.cast("string")).alias("url"),
+        F.when(k % 31 != 0, F.concat(F.lit(" P "), F.coalesce("source", F.lit("none")))).alias("publication"), F.when(k % 3 == 0, "news").otherwise("regulator").alias("source_class"), F.concat(F.lit("Item  "), k.cast("string")).alias("headline"), F.col("text").alias("lead"),
+        F.concat(F.lit("2026-"), F.when(k % 37 == 0, "02").otherwise("01"), F.lit("-"), F.lpad((k % 28 + 1).cast("string"), 2, "0"), F.when(k % 2 == 0, "").when(k % 5 == 0, "T00:00:00Z").otherwise("T15:30:00+00:00")).alias("published"),
+        (k % 7 == 0).alias("paywalled"), F.when(k % 41 == 0, "rumour").otherwise("search").alias("discovery_mode"), F.lit(None).cast("string").alias("notes"),
+    )
+    sources = [("a", "https://n1.test/feed", True, "US", 4, "trade", True), ("b", "https://n2.test/feed", False, "EU", 8, None, None), ("c", "https://www.n3.test/feed", True, "US", None, None, False)]
+    return rows, spark.createDataFrame(sources, "id string, url string, paywalled boolean, region string, lead_words int, tier string, enabled boolean")
+
+
+@query("""WITH e AS (SELECT doc_id, doc_id % 5 = 1 AS wall, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\r]+'), lambda x: x <> '') AS ws, doc_id % 2 = 0 OR doc_id % 5 = 0 AS dated, doc_id % 37 = 0 AS late FROM documents),
+f AS (SELECT *, CASE WHEN wall AND doc_id % 4 <> 0 THEN 4 WHEN doc_id % 5 = 2 AND doc_id % 4 <> 0 THEN 8 WHEN wall OR doc_id % 7 = 0 THEN 30 ELSE 60 END AS most FROM e)
+SELECT doc_id, CASE WHEN doc_id % 4 <> 0 THEN CASE doc_id % 5 WHEN 1 THEN 'a' WHEN 2 THEN 'b' END END AS source_id, wall OR doc_id % 7 = 0 AS paywalled, CASE WHEN dated THEN 'date' ELSE 'time' END AS published_precision, array_to_string(ws[1:most], ' ') || CASE WHEN len(ws) > most THEN '…' ELSE '' END AS lead,
+  CASE WHEN doc_id % 5 = 1 AND doc_id % 3 = 0 AND doc_id % 4 <> 0 THEN 'trade' END AS tier, array_to_string(list_filter([CASE WHEN doc_id % 29 = 0 THEN 'url' END, CASE WHEN doc_id % 31 = 0 THEN 'publication' END, CASE WHEN doc_id % 41 = 0 THEN 'discovery_mode' END, CASE WHEN late THEN 'late' END], lambda x: x IS NOT NULL), ',') AS problems,
+  array_to_string(list_filter([CASE WHEN doc_id % 2 = 1 AND doc_id % 5 = 0 THEN 'midnight' END, CASE WHEN wall AND doc_id % 7 <> 0 THEN 'walled' END, CASE WHEN len(ws) > most THEN 'lead_cut' END], lambda x: x IS NOT NULL), ',') AS notices FROM f""")
+def past_entries(spark, sf_dir):
+    rows, sources = past_rows(spark, sf_dir)
+    start, until = (F.lit(d).cast("timestamp") for d in ("2026-01-01 05:00:00", "2026-02-01 05:00:00"))
+    out = entries.past_entries(rows, sources, start, until, ("news", "regulator"))
+    return out.select("doc_id", "source_id", "paywalled", "published_precision", "lead", "tier", F.array_join("problems", ",").alias("problems"), F.array_join("notices", ",").alias("notices"))
+
+
+@query("""SELECT conv_id, CASE WHEN conv_id % 3 = 0 THEN NULL ELSE min(text) END AS validation_question, CASE WHEN conv_id % 3 = 0 THEN max(text) END AS awareness_rationale, count(*) AS sources, false AS backfilled FROM conversations GROUP BY conv_id""")
+def final_items(spark, sf_dir):
+    k = F.col("conv_id")
+    told = F.struct("role", "turn", F.lit(None).cast("string").alias("none"))
+    c = read(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.min("text").alias("validation_question"), F.max("text").alias("awareness_rationale"), F.collect_list(told).alias("l"))
+    drafts = c.select(
+        k.alias("item_id"), F.lit("2026-01-02T06:00:00-05:00").alias("timestamp"), F.lit("s").alias("section"), F.lit("c").alias("claim"), F.array(F.lit("d")).alias("domains"), F.lit("news").alias("source_class"), F.when(k % 3 == 0, "awareness_only").otherwise("process").alias("mechanism"),
+        F.transform("l", lambda x: F.struct(x["role"].alias("domain"), x["role"].alias("text"), x["turn"].alias("n"))).alias("interpretation"), "validation_question", F.lit("i").alias("candidate_issue_statement"), "awareness_rationale",
+        F.transform("l", lambda x: F.struct(x["role"].alias("publication"), x["role"].alias("url"), x["none"].alias("headline"), x["none"].alias("published"), x["none"].alias("source_class"), x["turn"].alias("n"))).alias("sources"), F.lit(None).cast("string").alias("update_of"), F.array(k).alias("candidate_ids"),
+    )
+    return publish.final_items(drafts).select(F.col("item_id").alias("conv_id"), "validation_question", "awareness_rationale", F.size("sources").cast("long").alias("sources"), "backfilled")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey % 9 <> 0 AND o_orderdate BETWEEN DATE '1996-03-01' AND DATE '1996-06-30'")
+def runs_in_range(spark, sf_dir):
+    k = F.col("o_orderkey")
+    runs = read(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.when(k % 9 == 0, "-0700").when(k % 2 == 0, "-0600").otherwise("-1800")).alias("run_id"))
+    # 06:00 and 18:00 Eastern of the first and last day
+    since, until = (F.lit(d).cast("timestamp") for d in ("1996-03-01 11:00:00", "1996-06-30 22:00:00"))
+    return readmodel.runs_between(runs, "run_id", since, until).select("o_orderkey")
+
+
+@query("SELECT event_id FROM events WHERE ts BETWEEN (SELECT max(ts) FROM events) - INTERVAL 8 DAY AND (SELECT max(ts) FROM events) - INTERVAL 2 DAY")
+def recent_items(spark, sf_dir):
+    e = read(spark, sf_dir, "events")
+    now = e.agg((F.max("ts") - F.make_dt_interval(F.lit(3))).alias("now"))
+    return readmodel.recent_archive(e.crossJoin(F.broadcast(now)), "ts", F.col("now"), 5).select("event_id")

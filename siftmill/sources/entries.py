@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftmill.functions import dates, text, url
+from siftmill.sources import registry
 
 
 def manual_entries(entries: DataFrame, registry: DataFrame, floor: Column) -> DataFrame:
@@ -34,6 +35,45 @@ def extra_entries(entries: DataFrame, registry: DataFrame, known: DataFrame) ->
     return e.withColumns({"publication": F.coalesce("publication", url.host(F.col("url"))), "paywalled": F.coalesce("paywalled", F.lit(False)), "extra": F.lit(True)}).drop("site")
 
 
+#: An instant with its offset, and one at midnight, which says no more than the date.
+_INSTANT, _MIDNIGHT = r"^\d{4}-\d\d-\d\dT\d\d:\d\d(:\d\d(\.\d{1,9})?)?(Z|[+-]\d\d:\d\d)$", r"^(\d{4}-\d\d-\d\d)T00:00(:00(\.0+)?)?(Z|[+-]\d\d:\d\d)$"
+MODES = ("archive", "search", "feed")
+
+
+def past_entries(entries: DataFrame, sources: DataFrame, start: Column, until: Column, classes: tuple[str, ...], later: bool = False, words: int = 60, paywalled_words: int = 30, known: tuple[str, ...] = (), shared: tuple[str, ...] = ()) -> DataFrame:
+    """Entries for a pass over ``[start, until)`` (``url, publication, source_class, headline, lead, published, paywalled, discovery_mode, notes``)
+    as candidates, beside ``problems`` (all that apply, in the order of fields; a caller refuses the whole file if any has one) and ``notices``.
+
+    ``published`` is a date, or an instant with its offset; midnight counts as a date. A date alone counts as its last slot when it is held
+    against the window. What lies after the window is taken with ``later`` alone, as ``outside_window``. ``sources``: the registry; its source of the same
+    host or site gives ``source_id``, ``region``, ``tier`` (of news) and the words of a lead; a paywall anywhere on the domain counts though the entry denies it. Nulls and empty fields are problems, no errors."""
+    c, published = F.col, F.col("published")
+    live = sources.where(F.coalesce("enabled", F.lit(True)))
+    e = registry.with_paywalls(registry.source_of(entries, "url", live.select("id", "url", "paywalled"), url.site_host), "url", live, known, shared)
+    e = e.join(live.select(c("id").alias("source_id"), c("region").alias("region"), c("tier").alias("_tier"), c("lead_words").alias("_words")).dropDuplicates(["source_id"]), "source_id", "left")
+    midnight = F.when(published.rlike(_MIDNIGHT), F.regexp_extract(published, _MIDNIGHT, 1))
+    date = F.coalesce(F.when(dates.is_iso_date(published), published), F.when(dates.is_iso_date(midnight), midnight))
+    instant = F.when(date.isNull() & published.rlike(_INSTANT), F.try_to_timestamp(F.regexp_replace(published, r"(T\d\d:\d\d)(?=[Z+-])", "$1:00")))
+    day = F.try_to_timestamp(date, F.lit("yyyy-MM-dd"))
+    e = e.withColumns({"published_date": F.coalesce(date, F.date_format(dates.et_date(instant), "yyyy-MM-dd")), "published_at": F.coalesce(F.to_utc_timestamp(day, dates.ZONE), instant), "published_precision": F.when(date.isNotNull(), "date").when(instant.isNotNull(), "time")})
+    counted = F.coalesce(dates.publication_instant(day, F.lit(True)), instant)
+    headline, publication = (text.collapse(F.coalesce(n, F.lit(""))) for n in ("headline", "publication"))
+    told = F.coalesce("lead", F.lit(""))
+    wrong = [
+        ("url", url.safe_link(c("url")).isNull()), ("disallowed", url.disallowed(c("url")).isNotNull()), ("publication", ~F.length(publication).between(1, 200)), ("source_class", ~F.coalesce(c("source_class").isin(*classes), F.lit(False))),
+        ("headline", ~F.length(headline).between(1, 300)), ("paywalled", c("paywalled").isNull()), ("discovery_mode", ~F.coalesce(c("discovery_mode").isin(*MODES), F.lit(False))), ("notes", F.length("notes") > 500),
+        ("published", c("published_precision").isNull()), ("early", counted < start), ("late", (counted >= until) & F.lit(not later)),
+    ]
+    shut = c("walled").isNotNull() | F.coalesce("paywalled", F.lit(False))
+    most = F.when(shut, F.least(F.lit(paywalled_words), F.coalesce("_words", F.lit(paywalled_words)))).otherwise(F.coalesce("_words", F.lit(words)))
+    w = text.words(told)
+    notes = [("midnight", midnight.isNotNull() & dates.is_iso_date(midnight)), ("walled", c("walled").isNotNull() & ~c("paywalled")), ("lead_cut", F.size(w) > most)]
+    named = lambda rules: F.array_compact(F.array(*[F.when(r, F.lit(n)) for n, r in rules]))
+    out = e.withColumns({"problems": named(wrong), "notices": named(notes), "outside_window": F.coalesce(counted >= until, F.lit(False)), "_shut": shut, "_lead": F.concat(F.array_join(F.slice(w, F.lit(1), most), " "), F.when(F.size(w) > most, "…").otherwise(""))})
+    out = out.withColumns({"url_normalised": url.normalise(c("url")), "candidate_id": url.candidate_id(c("url")), "headline": headline, "publication": publication, "paywalled": c("_shut"), "lead": c("_lead"), "notes": F.nullif(text.collapse(F.coalesce("notes", F.lit(""))), F.lit("")), "tier": F.when(c("source_class") == "news", c("_tier"))})
+    return out.drop("_shut", "_lead", "_tier", "_words", "walled")
+
+
 class Settings:
     """A JSON file of settings, looked up by dotted names; what it lacks comes from ``defaults`` (by dotted name)."""
 

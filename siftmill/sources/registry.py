@@ -32,17 +32,30 @@ def source_violations(sources: DataFrame, kinds: list[str], most_words: int = 12
     return checks.collected(checks.row_checks(sources, "id", rules), checks.unique(sources, "id"))
 
 
-def source_of(pages: DataFrame, address: str, sources: DataFrame) -> DataFrame:
-    """Adds ``source_id``: the source on the same host, else on the same site; paywalled ones first, then by id."""
+def source_of(pages: DataFrame, address: str, sources: DataFrame, site_of=url.registrable) -> DataFrame:
+    """Adds ``source_id``: the source on the same host, else on the same site; paywalled ones first, then by id. A site is what ``site_of``
+    makes of a host: its registrable domain, or with ``url.site_host`` the host itself, so that offices of one domain stay apart."""
     ranked = F.struct(F.when(F.coalesce("paywalled", F.lit(False)), 0).otherwise(1).alias("o"), F.col("id"))
-    h, site = url.host(F.col("url")), url.registrable(url.host(F.col("url")))
+    h, site = url.host(F.col("url")), site_of(url.host(F.col("url")))
     hosts = sources.groupBy(h.alias("_host")).agg(F.min(ranked)["id"].alias("_by_host"))
     sites = sources.groupBy(site.alias("_site")).agg(F.min(ranked)["id"].alias("_by_site"))
-    own = pages.withColumns({"_host": url.host(F.col(address)), "_site": url.registrable(url.host(F.col(address)))})
+    own = pages.withColumns({"_host": url.host(F.col(address)), "_site": site_of(url.host(F.col(address)))})
     out = own.join(hosts, "_host", "left").join(sites, "_site", "left")
     return out.withColumn("source_id", F.coalesce("_by_host", "_by_site")).drop("_host", "_site", "_by_host", "_by_site")
 
 
+def with_paywalls(pages: DataFrame, address: str, sources: DataFrame, known: tuple[str, ...] = (), shared: tuple[str, ...] = ()) -> DataFrame:
+    """Adds ``walled``: the least id of a paywalled source on the page's registrable domain (of ``shared`` platforms, whose subdomains are
+    different publications, on its host), ``known`` on a domain that is known for one without being registered; null for others."""
+    h = url.host(F.col(address))
+    domain = lambda c: F.when(url.registrable(c).isin(*shared), c).otherwise(url.registrable(c)) if shared else url.registrable(c)
+    walls = sources.where(F.coalesce("paywalled", F.lit(False)) & F.coalesce("enabled", F.lit(True)) & F.col("url").isNotNull())
+    walls = walls.groupBy(domain(url.host(F.col("url"))).alias("_site")).agg(F.min("id").alias("_wall"))
+    listed = F.when(url.registrable(h).isin(*known), "known") if known else F.lit(None).cast("string")
+    out = pages.withColumn("_site", F.nullif(domain(h), F.lit(""))).join(walls, "_site", "left")
+    return out.withColumn("walled", F.coalesce("_wall", listed)).drop("_site", "_wall")
+
+
 def code_table(spark: SparkSession, path: str, least: int = 10) -> DataFrame:
     """``code, verdict`` from the rows of a Markdown table whose first cell is a code in back quotes."""
     row = r"^\|\s*`([A-Z][A-Z0-9_]*)`\s*\|\s*([^|]*?)\s*\|"
