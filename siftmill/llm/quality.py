@@ -7,10 +7,11 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftmill.llm.common import staged, table
+from siftmill.llm.common import grouped, staged, table
 
 #: Bounds of what is fitted: labelled rows used, words with context vectors, buckets of other words, dimensions.
 SAMPLE, VOCABULARY, OTHERS, DIMS = 12_000, 4096, 1024, 128
@@ -19,6 +20,8 @@ HIDDEN, EPOCHS, SEED, THRESHOLD = 32, 40, 17, 0.3
 REMEMBERED, LONG = 400_000, 64
 #: Words whose contexts are summed up together.
 TOGETHER = 50_000
+#: Parts in which the matrices of contexts are summed up by tasks.
+SLICES = 8
 _OUTER, _RUNS = re.compile(r"^\W+|\W+$"), re.compile(r"(.)\1+", re.S)
 _SHAPE = [(re.compile(r"[a-zß-öø-ÿ]"), "x"), (re.compile(r"[A-ZÀ-ÖØ-Þ]"), "X"), (re.compile(r"\d"), "9")]
 
@@ -74,10 +77,11 @@ def pooled(terms: np.ndarray, vectors: np.ndarray) -> np.ndarray:
 
 
 def train(x: np.ndarray, y: np.ndarray, tune: np.ndarray) -> dict[str, np.ndarray]:
-    """Fit the network on the rows outside ``tune`` (Adam, log loss), then the temperature on those inside."""
+    """Fit the network on the rows outside ``tune`` (Adam, log loss), then the temperature on those inside. ``x`` may be of
+    single precision: only the rows and columns in use are doubles, so the driver holds it once."""
     rng = np.random.default_rng(SEED)
-    mean, scale = x.mean(0), x.std(0) + 1e-6
-    z = (x - mean) / scale
+    columns = (x[:, i : i + 16].astype(float) for i in range(0, x.shape[1], 16))
+    mean, scale = np.concatenate([(c.mean(0), c.std(0) + 1e-6) for c in columns], 1)
     p = {"w1": rng.normal(0, 1 / np.sqrt(x.shape[1]), (x.shape[1], HIDDEN)), "b1": np.zeros(HIDDEN), "w2": rng.normal(0, 1 / np.sqrt(HIDDEN), HIDDEN), "b2": np.zeros(())}
     m, v = ({k: np.zeros_like(a) for k, a in p.items()} for _ in range(2))
     fit = np.flatnonzero(~tune) if (~tune).any() else np.arange(len(x))
@@ -86,10 +90,11 @@ def train(x: np.ndarray, y: np.ndarray, tune: np.ndarray) -> dict[str, np.ndarra
         order = rng.permutation(fit)
         for rows in np.array_split(order, max(1, len(order) // 128)):
             step += 1
-            h = np.tanh(z[rows] @ p["w1"] + p["b1"])
+            z = (x[rows] - mean) / scale
+            h = np.tanh(z @ p["w1"] + p["b1"])
             d = (1 / (1 + np.exp(-np.clip(h @ p["w2"] + p["b2"], -30, 30))) - y[rows]) / len(rows)
             dh = np.outer(d, p["w2"]) * (1 - h**2)
-            grads = {"w1": z[rows].T @ dh + 1e-4 * p["w1"], "b1": dh.sum(0), "w2": h.T @ d + 1e-4 * p["w2"], "b2": d.sum()}
+            grads = {"w1": z.T @ dh + 1e-4 * p["w1"], "b1": dh.sum(0), "w2": h.T @ d + 1e-4 * p["w2"], "b2": d.sum()}
             for k, g in grads.items():
                 m[k], v[k] = 0.9 * m[k] + 0.1 * g, 0.999 * v[k] + 0.001 * g**2
                 p[k] = p[k] - 0.003 * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)
@@ -112,8 +117,8 @@ def fold(doc_id) -> F.Column:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE):
     """Vocabulary, word vectors and network from at most ``sample`` labelled rows (those of least hash) whose id is not
-    held out; None if no usable row has a label. Contexts, counts and features are gathered by Spark; the driver gets
-    the vocabulary, one matrix per partition of the sample and a vector per sampled row."""
+    held out; None if no usable row has a label. Contexts, counts and features are gathered and summed up by Spark; the
+    driver gets the vocabulary, one matrix of contexts and a vector per sampled row, a part at a time."""
     lab = labels.select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("double").alias("_y")).where("_y IN (0, 1)").where(fold(F.col("_id")) != 0)
     lab = lab.groupBy("_id").agg(F.max("_y").alias("_y")).orderBy(F.xxhash64("_id"), "_id").limit(sample)
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(lab), "_id")
@@ -154,10 +159,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                     mine = slice(before, before + min(TOGETHER, len(whole) - first))
                     for column in at[mine].T:
                         np.add.at(total, column, near[2:][mine])
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], ["m"])
+        for k, part in enumerate(np.array_split(total, SLICES)):
+            yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([TaskContext.get().partitionId()]), pa.array([part.tobytes()])], ["k", "task", "m"])
 
-    found = texts.select("_text").mapInArrow(contexts, "m binary").collect()
-    total = sum((np.frombuffer(r["m"], np.float32).reshape(-1, DIMS) for r in found), np.zeros((VOCABULARY + OTHERS, DIMS), np.float32))
+    def summed(batches):
+        for g in grouped(batches, "k"):
+            parts = (np.frombuffer(m.as_py(), np.float32) for m in g["m"])
+            yield pa.RecordBatch.from_arrays([g["k"].combine_chunks()[:1], pa.array([sum(parts, np.float32(0)).tobytes()])], ["k", "m"])
+
+    found = texts.select("_text").mapInArrow(contexts, "k long, task long, m binary").repartition(SLICES, "k").sortWithinPartitions("k", "task")
+    found = sorted(found.mapInArrow(summed, "k long, m binary").collect())
+    total = np.concatenate([np.frombuffer(r["m"], np.float32) for r in found]).reshape(-1, DIMS)
     unit = lambda a: a / np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-6)
     vectors = (unit(index) + unit(total)).astype(np.float32)
 
@@ -167,10 +179,20 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             x = [pooled(terms.of(t), vectors).astype(np.float32).tobytes() for t in b["_text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([b["_id"], b["_y"], pa.array(x, pa.binary())], ["_id", "_y", "x"])
 
-    rows = sorted(texts.mapInArrow(pool, "_id long, _y double, x binary").withColumn("fold", fold(F.col("_id"))).collect())
-    x = np.stack([np.frombuffer(r["x"], np.float32) for r in rows]).astype(float)
-    y = np.array([r["_y"] for r in rows])
-    return vocabulary, vectors, train(x, y, np.array([r["fold"] == 1 for r in rows]))
+    rows = staged(texts.mapInArrow(pool, "_id long, _y double, x binary").withColumn("fold", fold(F.col("_id"))))
+    ids, y, tune, x = matrix(rows)
+    order = np.argsort(ids)
+    return vocabulary, vectors, train(x[order], y[order], tune[order])
+
+
+def matrix(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``_id, _y, x, fold`` -> ids, labels, whether the fold is 1, and one matrix of single precision, filled as the rows come:
+    the driver has one partition beside it, not all rows in several forms."""
+    n = rows.count()
+    ids, y, tune, x = np.empty(n, np.int64), np.empty(n), np.empty(n, bool), np.empty((n, 2 * DIMS), np.float32)
+    for i, r in enumerate(rows.toLocalIterator()):
+        ids[i], y[i], tune[i], x[i] = r["_id"], r["_y"], r["fold"] == 1, np.frombuffer(r["x"], np.float32)
+    return ids, y, tune, x
 
 
 def scorer(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str):

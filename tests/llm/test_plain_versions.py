@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -84,3 +85,26 @@ def test_network_by_hand():
     assert ((got > 0) == (y > 0)).mean() > 0.9
     loss = lambda t: np.logaddexp(0, -got[held] * (2 * y[held] - 1) / t).mean()
     assert loss(float(net["t"])) <= min(loss(t) for t in (0.3, 0.5, 1.0, 2.0, 4.0)) + 1e-3
+
+
+def test_quality_network_holds_the_sample_once():
+    """Rows of single precision train the same network as doubles do, and no second matrix is made of them."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(3, 2, (4000, 2 * quality.DIMS)).astype(np.float32)
+    y, tune = (x[:, 0] + x[:, 1] > 6).astype(float), np.arange(4000) % 4 == 0
+    tracemalloc.start()
+    net = quality.train(x, y, tune)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.6 * x.nbytes
+    wide = x.astype(float)
+    assert np.array_equal(net["mean"], wide.mean(0)) and np.array_equal(net["scale"], wide.std(0) + 1e-6)
+    assert all(np.array_equal(v, net[k]) for k, v in quality.train(wide, y, tune).items())
+
+
+def test_quality_sample_comes_in_parts(spark):
+    want = np.random.default_rng(3).normal(size=(9, 2 * quality.DIMS)).astype(np.float32)
+    rows = spark.createDataFrame([(i, float(i % 2), want[i].tobytes(), i % 5) for i in range(9)], "_id long, _y double, x binary, fold long").repartition(4)
+    ids, y, tune, x = quality.matrix(rows)
+    assert x.dtype == np.float32 and sorted(ids) == list(range(9)) and np.array_equal(x, want[ids])
+    assert list(y) == [i % 2 for i in ids] and list(tune) == [i % 5 == 1 for i in ids]
