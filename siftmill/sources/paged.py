@@ -21,6 +21,8 @@ PAGE = "agency string, page int, address string, status int, body string, error
 ISSUER = "source_id string, publication string, region string, lead_words int"
 #: Agencies and queries come from a registry that people keep; more than this is no registry.
 MOST_STARTS = 10_000
+#: Row groups of a recording are small: one is read for each page. Their size is looked at after each row, so small rows (refused pages) before large ones make none large.
+ROW_GROUPS = {"parquet.block.size": 1 << 18, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 1}
 
 
 @dataclass(frozen=True)
@@ -35,21 +37,49 @@ class Recording:
 
     def answer(self, address: str) -> tuple[int | None, str | None]:
         """Status and body; nulls if none is recorded."""
-        from pyarrow import dataset, fs
+        return Shelf(self).answer(address)
 
-        store, path = fs.FileSystem.from_uri(self.folder)
-        own = f"{path}/bucket={zlib.crc32(address.encode()) % self.buckets}"
-        if store.get_file_info(own).type == fs.FileType.NotFound:
-            return None, None
-        found = dataset.dataset(own, format="parquet", filesystem=store).to_table(columns=["status", "body"], filter=dataset.field("address") == address).to_pylist()
-        return (found[0]["status"], found[0]["body"]) if found else (None, None)
+
+class Shelf:
+    """A recording as one task reads it: the footers of a folder are read once, then each answer costs one row group."""
+
+    def __init__(self, recording: Recording):
+        from pyarrow import fs
+
+        self.recording, self.groups = recording, {}
+        self.store, self.path = fs.FileSystem.from_uri(recording.folder)
+
+    def opened(self, bucket: int) -> list[tuple]:
+        """Least and greatest address, file and number of each row group of a folder."""
+        from pyarrow import fs, parquet
+
+        if bucket not in self.groups:
+            files = self.store.get_file_info(fs.FileSelector(f"{self.path}/bucket={bucket}", allow_not_found=True))
+            self.groups[bucket] = own = []
+            for path in sorted(f.path for f in files if f.is_file and not f.base_name.startswith(("_", "."))):
+                file = parquet.ParquetFile(self.store.open_input_file(path))
+                at = file.schema_arrow.get_field_index("address")
+                for i in range(file.num_row_groups):
+                    s = file.metadata.row_group(i).column(at).statistics
+                    own.append((s.min, s.max, file, i) if s is not None and s.has_min_max else (None, None, file, i))
+        return self.groups[bucket]
+
+    def answer(self, address: str) -> tuple[int | None, str | None]:
+        for low, high, file, i in self.opened(zlib.crc32(address.encode()) % self.recording.buckets):
+            if low is None or low <= address <= high:
+                found = file.read_row_group(i, columns=["address", "status", "body"], use_threads=False)
+                at = found["address"].to_pylist()
+                if address in at:
+                    row = found.slice(at.index(address), 1).to_pylist()[0]
+                    return row["status"], row["body"]
+        return None, None
 
 
 def record(answers: DataFrame, recording: Recording) -> Recording:
     """Writes ``address, status, body``; of several answers of one address the least (status, then body) is kept."""
     one = answers.where("address IS NOT NULL").groupBy("address").agg(F.min(F.struct("status", "body")).alias("a")).select("address", F.col("a.status").cast("int").alias("status"), F.col("a.body").alias("body"))
     rows = one.withColumn("bucket", recording.bucket(F.col("address")))
-    rows.repartition(recording.buckets, "bucket").sortWithinPartitions("bucket", "address").write.partitionBy("bucket").option("parquet.block.size", 1 << 20).parquet(recording.folder)
+    rows.repartition(recording.buckets, "bucket").sortWithinPartitions("bucket", "address").write.partitionBy("bucket").options(**ROW_GROUPS).parquet(recording.folder)
     return recording
 
 
@@ -92,12 +122,13 @@ class PagedReader(DataSourceReader):
         return self.starts
 
     def read(self, start: Start | None) -> Iterator[tuple]:
+        shelf = Shelf(self.recording)
         at, page = start.address if start else None, 0  # without queries there is one task, with nothing to start from
         while at:
             if page == self.most:
                 yield start.agency, page, at, None, None, f"more than {self.most} pages"
                 return
-            status, body = self.recording.answer(at)
+            status, body = shelf.answer(at)
             whole, onward, error = next_page(status, body, at)
             yield start.agency, page, at, status, body if whole else None, error
             at, page = onward, page + 1
